@@ -55,8 +55,8 @@ def leading_tokens(text: Column | str, limit: int) -> Column:
 
 
 def characters(word: Column | str) -> Column:
-    """Code points of a word, in order."""
-    return F.regexp_extract_all(_col(word), F.lit("(?s)."), F.lit(0))
+    """Code points of a word that is not empty, in order."""
+    return F.split(_col(word), "")
 
 
 def add_specials_and_truncate(ids: Column | str, max_length: int = MAX_LENGTH) -> Column:

@@ -1,7 +1,7 @@
 """Distillation of a teacher into a linear student over token ids.
 
-The student's features are the token ids of a text themselves, averaged over its length
-(one weight per id and class). A training step is one pass over the stored rows: every
+The student's features are the token ids of a text themselves, each worth one over the
+square root of the text's length, with one weight per id and class. A training step is one pass over the stored rows: every
 task adds up its own gradient, a grouped sum merges them by feature, and the driver, which
 holds nothing but the weights, makes the AdamW update and sends the new weights out.
 """
@@ -229,7 +229,7 @@ def _pass(
             slope[at_label] -= 1.0
             slope += kd_weight * temperature * (np.exp(log_s) - p_t)
             slope[~train] = 0.0
-            per_id = np.repeat(slope / sizes[:, None], sizes, axis=0)
+            per_id = np.repeat(slope / np.sqrt(sizes)[:, None], sizes, axis=0)
             for c in range(len(w)):
                 gradient[c, :-1] += np.bincount(flat, per_id[:, c], minlength=n_features)
                 gradient[c, -1] += slope[:, c].sum()
@@ -266,7 +266,7 @@ def _forward(weights: np.ndarray, ids: pa.ListArray):
         return np.zeros((0, len(weights))), flat, sizes
     starts = np.cumsum(sizes) - sizes
     sums = np.add.reduceat(weights[:, flat], starts, axis=1)
-    return (sums / sizes + weights[:, -1:]).T, flat, sizes
+    return (sums / np.sqrt(sizes) + weights[:, -1:]).T, flat, sizes
 
 
 def _log_softmax(z: np.ndarray) -> np.ndarray:

@@ -147,7 +147,8 @@ def score_distinct(
     shuffles on the digest, the form in which adaptive execution splits the partition
     of a text that fills a large part of the corpus.
     """
-    digest: Column = F.sha2(F.col(key), 256)
+    # Never null, so that the optimizer adds no second digest as a null check.
+    digest: Column = F.coalesce(F.sha2(F.col(key), 256), F.lit(""))
     keep = [c for c in df.columns] if keep is None else list(keep)
     unique = df.select(key).where(F.col(key).isNotNull()).distinct()
     scored = score(unique, model).select(digest.alias("_digest"), "logits")

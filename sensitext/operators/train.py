@@ -21,7 +21,7 @@ from sensitext.operators.predict import detect, predict
 from sensitext.session import materialise
 from sensitext.sources.labelled import texts
 
-_FEATURE_COLUMNS = ("_tokens", "_bigrams", "_counts", "features", "probability", "prediction")
+_STAGE_COLUMNS = ("_tokens", "_bigrams", "_grams", "_seen", "features", "probability", "prediction")
 
 
 @dataclass
@@ -42,7 +42,7 @@ class Detector:
             return self.model.score_encoded(encoded)
         raw = self.model.transform(encoded)
         return raw.withColumn("logits", vector_to_array("rawPrediction")).drop(
-            "rawPrediction", *_FEATURE_COLUMNS
+            "rawPrediction", *_STAGE_COLUMNS
         )
 
     def score(self, df: DataFrame) -> DataFrame:
@@ -73,33 +73,38 @@ def fit_teacher(
     vocab: DataFrame | dict[str, int] | None = None,
     max_length: int = MAX_LENGTH,
     weight_decay: float = TEACHER_WEIGHT_DECAY,
-    max_iter: int = 50,
+    max_iter: int = 30,
     n_features: int = 1 << 16,
+    bigrams: bool = False,
     vocab_size: int = VOCAB_SIZE,
-    encoded: DataFrame | None = None,
 ) -> Detector:
     """Fit a detector on ``text, label`` rows.
 
     L-BFGS takes the place of small-batch steps: each iteration is one pass over the
     executors with a tree-shaped sum of gradients, so there is no learning rate and no
-    warm-up; ``weight_decay`` is the L2 penalty. ``encoded`` rows with ``input_ids`` and
-    ``labels`` can be given to spare the encoding.
+    warm-up; ``weight_decay`` is the L2 penalty. Features are the token ids a text holds
+    and, on request, their bigrams, weighted by IDF.
     """
     ids = vocab_dict(build_vocab(train, vocab_size) if vocab is None else vocab)
-    if encoded is None:
-        encoded = encode(train.select("text", "label"), ids, max_length)
+    encoded = encode(train.select("text", "label"), ids, max_length)
     # Read once per iteration, so written once as narrow id arrays.
     stored = materialise(encoded.select("input_ids", "labels"), "teacher-input")
+    grams = "concat(_tokens, _bigrams)" if bigrams else "_tokens"
     stages = [
         SQLTransformer(
             statement="SELECT *, transform(input_ids, x -> cast(x AS string)) AS _tokens "
             "FROM __THIS__"
         ),
-        NGram(n=2, inputCol="_tokens", outputCol="_bigrams"),
-        HashingTF(numFeatures=n_features, inputCol="_bigrams", outputCol="_counts"),
-        IDF(inputCol="_counts", outputCol="features"),
+        *([NGram(n=2, inputCol="_tokens", outputCol="_bigrams")] if bigrams else []),
+        SQLTransformer(statement=f"SELECT *, {grams} AS _grams FROM __THIS__"),
+        HashingTF(numFeatures=n_features, binary=True, inputCol="_grams", outputCol="_seen"),
+        IDF(inputCol="_seen", outputCol="features"),
         LogisticRegression(
-            featuresCol="features", labelCol="labels", regParam=weight_decay, maxIter=max_iter
+            featuresCol="features",
+            labelCol="labels",
+            regParam=weight_decay,
+            maxIter=max_iter,
+            standardization=False,
         ),
     ]
     return Detector(Pipeline(stages=stages).fit(stored), ids, max_length)

@@ -13,7 +13,7 @@ from sensitext.sources.tables import read_table
 from sensitext.streaming.score_stream import read_stream, score_stream
 
 # Full-batch steps of a linear student need a larger rate than small-batch training.
-STUDENT_LEARNING_RATE = 0.05
+STUDENT_LEARNING_RATE = 0.5
 STUDENT_STEPS = 30
 
 

@@ -9,6 +9,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
+_local_roots: dict[str, str] = {}
 
 
 def build_session(
@@ -16,6 +17,7 @@ def build_session(
     app_name: str = "sensitext",
     shuffle_partitions: int | None = None,
     driver_memory: str = "8g",
+    checkpoint_dir: str | None = None,
 ) -> SparkSession:
     """Session with the settings every operator here assumes.
 
@@ -39,6 +41,8 @@ def build_session(
         )
     if shuffle_partitions is not None:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    if checkpoint_dir is not None:
+        builder = builder.config(CHECKPOINT_KEY, checkpoint_dir)
     return builder.getOrCreate()
 
 
@@ -48,14 +52,15 @@ def checkpoint_root(spark: SparkSession) -> str:
     Only a local session without the setting gets a temporary folder of its own; a
     cluster session without it is an error, since executors must all see the folder.
     """
-    root = spark.conf.get(CHECKPOINT_KEY, None) or spark.sparkContext.getConf().get(CHECKPOINT_KEY)
+    root = spark.sparkContext.getConf().get(CHECKPOINT_KEY) or spark.conf.get(CHECKPOINT_KEY, None)
     if root:
         return root
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError(f"set {CHECKPOINT_KEY} to a folder all executors can reach")
-    root = tempfile.mkdtemp(prefix="sensitext-")
-    spark.conf.set(CHECKPOINT_KEY, root)
-    return root
+    app = spark.sparkContext.applicationId
+    if app not in _local_roots:
+        _local_roots[app] = tempfile.mkdtemp(prefix="sensitext-")
+    return _local_roots[app]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
