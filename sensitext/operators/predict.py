@@ -60,9 +60,16 @@ def batch_scorer(
 
 
 def score(df: DataFrame, model, out: str = "logits") -> DataFrame:
-    """Add logits by a scorer, or by a model that has a ``score`` method."""
-    scored = model(df) if callable(model) else model.score(df)
-    return scored if out == "logits" else scored.withColumnRenamed("logits", out)
+    """Add logits by a scorer, or by a model that has a ``score`` method.
+
+    A column ``out`` that is there already is replaced; other columns stay as they are.
+    """
+    add = model if callable(model) else model.score
+    if out == "logits":
+        return add(df.drop("logits"))
+    kept = df.drop(out).withColumnRenamed("logits", "_kept_logits")
+    scored = add(kept).withColumnRenamed("logits", out)
+    return scored.withColumnRenamed("_kept_logits", "logits")
 
 
 def nan_guard(df: DataFrame, logits_col: str = "logits") -> DataFrame:
