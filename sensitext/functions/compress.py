@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
+from sensitext.functions.binding import bind
+
 # Fixed values of the int8 and half-precision formats.
 INT8_MAX = 127
 FP16_OVERFLOW = 65520.0
@@ -17,22 +19,31 @@ FP16_FRACTION_BITS = 10
 
 def quantize_int8(vector: Column | str) -> Column:
     """Symmetric int8 with one scale per row: ``struct(scale, q)``."""
-    v = _col(vector).cast("array<double>")
-    scale = F.array_max(F.transform(v, lambda x: F.abs(x))) / F.lit(float(INT8_MAX))
-    q = F.when(scale == 0.0, F.transform(v, lambda x: F.lit(0).cast("tinyint"))).otherwise(
-        F.transform(
-            v,
-            lambda x: F.least(
-                F.greatest(F.rint(x / scale), F.lit(float(-INT8_MAX))), F.lit(float(INT8_MAX))
-            ).cast("tinyint"),
-        )
+    top = F.lit(float(INT8_MAX))
+
+    def scale_of(v: Column) -> Column:
+        return F.array_max(F.transform(v, lambda x: F.abs(x))) / top
+
+    def step(x: Column, scale: Column) -> Column:
+        rounded = F.least(F.greatest(F.rint(F.try_divide(x, scale)), -top), top)
+        return F.when(scale == 0.0, F.lit(0.0)).otherwise(rounded).cast("tinyint")
+
+    return bind(
+        _col(vector).cast("array<double>"),
+        lambda v: bind(
+            scale_of(v),
+            lambda scale: F.struct(
+                scale.alias("scale"), F.transform(v, lambda x: step(x, scale)).alias("q")
+            ),
+        ),
     )
-    return F.struct(scale.alias("scale"), q.alias("q"))
 
 
 def dequantize_int8(quantized: Column | str) -> Column:
-    z = _col(quantized)
-    return F.transform(z["q"], lambda x: x.cast("double") * z["scale"])
+    return bind(
+        _col(quantized),
+        lambda z: F.transform(z["q"], lambda x: x.cast("double") * z["scale"]),
+    )
 
 
 def to_fp16(vector: Column | str) -> Column:

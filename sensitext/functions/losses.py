@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 from sensitext.constants import HIDDEN_WEIGHT, KD_WEIGHT, TEMPERATURE
+from sensitext.functions.binding import bind
 from sensitext.functions.scoring import log_softmax, log_softmax_t, softmax, softmax_t
 
 
@@ -29,20 +30,27 @@ def hidden_loss(s_layers: Column | str, t_layers: Column | str) -> Column:
     Student layer ``i`` is compared with teacher layer ``i * (n_teacher // n_student)``.
     Rows must have equal layer widths for the batch average to equal the tensor mean.
     """
-    s, t = _col(s_layers), _col(t_layers)
-    factor = F.floor(F.size(t) / F.size(s)).cast("int")
-    per_layer = F.transform(
-        s,
-        lambda layer, i: _sum(
-            F.zip_with(
-                layer,
-                F.element_at(t, i * factor + F.lit(1)),
-                lambda a, b: (a - b) * (a - b),
+
+    def difference(layer: Column, other: Column) -> Column:
+        squares = F.zip_with(layer, other, lambda a, b: (a - b) * (a - b))
+        return _sum(squares) / F.size(layer)
+
+    def over_layers(s: Column, t: Column, factor: Column) -> Column:
+        return _sum(
+            F.transform(
+                s, lambda layer, i: difference(layer, F.element_at(t, i * factor + F.lit(1)))
             )
         )
-        / F.size(layer),
+
+    def factor(s: Column, t: Column) -> Column:
+        return F.floor(F.size(t) / F.size(s)).cast("int")
+
+    return bind(
+        _col(s_layers),
+        lambda s: bind(
+            _col(t_layers), lambda t: bind(factor(s, t), lambda k: over_layers(s, t, k))
+        ),
     )
-    return _sum(per_layer)
 
 
 def total_loss(

@@ -7,17 +7,19 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, functions as F
 
 from sensitext.constants import ID2LABEL, TEMPERATURE, THRESHOLD
+from sensitext.functions.binding import bind
 
 
 def linear_logits(vector: Column | str, heads: Sequence[Sequence[float]]) -> Column:
     """One dot product per class head over a vector column, computed in double."""
-    v = _col(vector).cast("array<double>")
     heads_lit = F.array(*[F.array(*[F.lit(float(w)) for w in head]) for head in heads])
-    return F.transform(
-        heads_lit,
-        lambda h: F.aggregate(
-            F.zip_with(v, h, lambda x, w: x * w), F.lit(0.0), lambda acc, x: acc + x
-        ),
+
+    def dot(v: Column, h: Column) -> Column:
+        products = F.zip_with(v, h, lambda x, w: x * w)
+        return F.aggregate(products, F.lit(0.0), lambda acc, x: acc + x)
+
+    return bind(
+        _col(vector).cast("array<double>"), lambda v: F.transform(heads_lit, lambda h: dot(v, h))
     )
 
 
@@ -36,9 +38,18 @@ def log_softmax(logits: Column | str) -> Column:
 
 def log_softmax_t(logits: Column | str, temperature: float = TEMPERATURE) -> Column:
     """``z - max - log(sum(exp(z - max)))`` for ``z = logits / temperature``."""
-    shifted = _shifted(_col(logits), temperature)
-    log_sum = F.log(F.aggregate(shifted, F.lit(0.0), lambda acc, x: acc + F.exp(x)))
-    return F.transform(shifted, lambda x: x - log_sum)
+    z = _col(logits)
+    if temperature != 1.0:
+        z = F.transform(z, lambda x: x / F.lit(float(temperature)))
+
+    def log_sum(shifted: Column) -> Column:
+        return F.log(F.aggregate(shifted, F.lit(0.0), lambda acc, x: acc + F.exp(x)))
+
+    def shift(a: Column, by: Column) -> Column:
+        return F.transform(a, lambda x: x - by)
+
+    centred = bind(z, lambda a: bind(F.array_max(a), lambda top: shift(a, top)))
+    return bind(centred, lambda a: bind(log_sum(a), lambda total: shift(a, total)))
 
 
 def argmax(values: Column | str) -> Column:
@@ -85,15 +96,5 @@ def decide(probs: Column | str, threshold: float = THRESHOLD) -> Column:
     return F.element_at(_col(probs), 2) > F.lit(float(threshold))
 
 
-def _shifted(logits: Column, temperature: float) -> Column:
-    scaled = (
-        logits
-        if temperature == 1.0
-        else F.transform(logits, lambda x: x / F.lit(float(temperature)))
-    )
-    top = F.array_max(scaled)
-    return F.transform(scaled, lambda x: x - top)
-
-
 def _col(x: Column | str) -> Column:
     return F.col(x) if isinstance(x, str) else x

@@ -31,7 +31,7 @@ from sensitext.constants import (
 from sensitext.functions.losses import logit_gradient
 from sensitext.functions.scoring import softmax_t
 from sensitext.operators.predict import score
-from sensitext.session import materialise
+from sensitext.session import materialise, stored_once
 from sensitext.sources.sinks import append_history
 
 # AdamW constants as published.
@@ -165,25 +165,24 @@ def fit_student(
     narrow = rows.select(
         "input_ids", F.col("label").cast("int").alias("label"), "t_logits", "split"
     )
-    stored = materialise(narrow, "student-input")
-
     weights = np.zeros((2, n_features + 1))
     first, second = np.zeros_like(weights), np.zeros_like(weights)
     best, best_accuracy, history = weights, 0.0, []
-    total = _pass(stored, weights, n_features, temperature, kd_weight)
-    for epoch in range(1, epochs + 1):
-        gradient, train_loss = total["gradient"], total["train_loss"]
-        first = BETA1 * first + (1 - BETA1) * gradient
-        second = BETA2 * second + (1 - BETA2) * gradient**2
-        step = (first / (1 - BETA1**epoch)) / (
-            np.sqrt(second / (1 - BETA2**epoch)) + EPSILON
-        )
-        weights = weights * (1 - lr * weight_decay) - lr * step
+    with stored_once(narrow, "student-input") as stored:
         total = _pass(stored, weights, n_features, temperature, kd_weight)
-        accuracy = total["val_acc"]
-        history.append((run, epoch, epoch, train_loss, total["eval_loss"], accuracy))
-        if accuracy is not None and accuracy >= best_accuracy:
-            best, best_accuracy = weights, accuracy
+        for epoch in range(1, epochs + 1):
+            gradient, train_loss = total["gradient"], total["train_loss"]
+            first = BETA1 * first + (1 - BETA1) * gradient
+            second = BETA2 * second + (1 - BETA2) * gradient**2
+            step = (first / (1 - BETA1**epoch)) / (
+                np.sqrt(second / (1 - BETA2**epoch)) + EPSILON
+            )
+            weights = weights * (1 - lr * weight_decay) - lr * step
+            total = _pass(stored, weights, n_features, temperature, kd_weight)
+            accuracy = total["val_acc"]
+            history.append((run, epoch, epoch, train_loss, total["eval_loss"], accuracy))
+            if accuracy is not None and accuracy >= best_accuracy:
+                best, best_accuracy = weights, accuracy
     if history_path is not None:
         append_history(spark, history, history_path)
     if all(h[5] is None for h in history):

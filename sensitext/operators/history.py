@@ -41,12 +41,16 @@ def is_new_best(history: DataFrame) -> DataFrame:
 
 
 def retained(history: DataFrame, limit: int = CHECKPOINT_LIMIT) -> DataFrame:
-    """Checkpoints kept on disk: the best by loss, then the latest ones up to ``limit``."""
-    best_first = Window.partitionBy("run").orderBy(F.col("eval_loss").asc_nulls_last(), "epoch")
-    kept_order = Window.partitionBy("run").orderBy(F.desc("_is_best"), F.desc("epoch"))
-    flagged = history.withColumn("_is_best", F.row_number().over(best_first) == 1)
+    """Checkpoints kept on disk: the best by loss, then the latest ones up to ``limit``.
+
+    The best epochs are joined by run and epoch, which spreads a long run over many
+    tasks, and only the ``limit`` first rows of a run reach the final ranking.
+    """
+    best = best_by_loss(history).select("run", "epoch", F.lit(True).alias("_is_best"))
+    kept_order = Window.partitionBy("run").orderBy(F.desc_nulls_last("_is_best"), F.desc("epoch"))
     return (
-        flagged.withColumn("_place", F.row_number().over(kept_order))
+        history.join(best, ["run", "epoch"], "left")
+        .withColumn("_place", F.row_number().over(kept_order))
         .where(F.col("_place") <= limit)
-        .drop("_place", "_is_best")
+        .select(*history.columns)
     )

@@ -18,7 +18,7 @@ from sensitext.operators.distill import LinearStudent
 from sensitext.operators.encoding import build_vocab, encode, vocab_dict
 from sensitext.operators.metrics import metric_columns
 from sensitext.operators.predict import detect, predict
-from sensitext.session import materialise
+from sensitext.session import stored_once
 from sensitext.sources.labelled import texts
 
 _STAGE_COLUMNS = ("_tokens", "_bigrams", "_grams", "_seen", "features", "probability", "prediction")
@@ -87,8 +87,6 @@ def fit_teacher(
     """
     ids = vocab_dict(build_vocab(train, vocab_size) if vocab is None else vocab)
     encoded = encode(train.select("text", "label"), ids, max_length)
-    # Read once per iteration, so written once as narrow id arrays.
-    stored = materialise(encoded.select("input_ids", "labels"), "teacher-input")
     grams = "concat(_tokens, _bigrams)" if bigrams else "_tokens"
     stages = [
         SQLTransformer(
@@ -107,7 +105,9 @@ def fit_teacher(
             standardization=False,
         ),
     ]
-    return Detector(Pipeline(stages=stages).fit(stored), ids, max_length)
+    # Read once per iteration, so written once as narrow id arrays.
+    with stored_once(encoded.select("input_ids", "labels"), "teacher-input") as stored:
+        return Detector(Pipeline(stages=stages).fit(stored), ids, max_length)
 
 
 def evaluate(model: Detector, df: DataFrame, by: str | None = "split") -> DataFrame:

@@ -9,6 +9,12 @@ from sensitext.functions.scoring import argmax, linear_logits
 from sensitext.operators.prep import hash_split
 from sensitext.sources.tables import labelled_from_tables, read_table
 
+SCHEMAS = {
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "labels": "doc_id bigint, quality int, toxic int",
+    "embeddings": "vec_id bigint, embedding array<float>, label int",
+    "conversations": "conv_id bigint, turn bigint, role string, text string",
+}
 WIDTH = 64
 # Two fixed linear heads over the embedding vectors.
 TEACHER_HEADS = [[((i * 7 + j * 13) % 17 - 8) / 8 for i in range(WIDTH)] for j in range(2)]
@@ -20,20 +26,26 @@ def r6(x: Column | str) -> Column:
     return F.round(x, 6)
 
 
+def table(
+    spark: SparkSession, data_dir: str, name: str, *columns: str | Column, spread: bool = False
+) -> DataFrame:
+    """One of the given tables, with its fixed schema."""
+    return read_table(spark, data_dir, name, *columns, schema=SCHEMAS[name], spread=spread)
+
+
 def documents(spark: SparkSession, data_dir: str) -> DataFrame:
-    return read_table(spark, data_dir, "documents", "doc_id", "text", spread=True)
+    return table(spark, data_dir, "documents", "doc_id", "text", spread=True)
 
 
 def labelled(spark: SparkSession, data_dir: str) -> DataFrame:
-    docs = read_table(spark, data_dir, "documents", "doc_id", "text", spread=True)
-    labels = read_table(spark, data_dir, "labels", "doc_id", "toxic")
-    return hash_split(labelled_from_tables(docs, labels))
+    labels = table(spark, data_dir, "labels", "doc_id", "toxic")
+    return hash_split(labelled_from_tables(documents(spark, data_dir), labels))
 
 
 def vectors(spark: SparkSession, data_dir: str) -> DataFrame:
     """``vec_id, digit, label, split, embedding`` with a two-class label."""
     split = F.when(F.col("vec_id") % 5 == 0, "validation").otherwise("train")
-    return read_table(spark, data_dir, "embeddings").select(
+    return table(spark, data_dir, "embeddings").select(
         "vec_id",
         F.col("label").alias("digit"),
         (F.col("label") % 2).cast("int").alias("label"),

@@ -7,9 +7,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from sensitext.operators.distill import fit_student, soft_labels
 from sensitext.operators.predict import detect, predict, predict_probes
 from sensitext.operators.train import Detector, evaluate, fit_teacher
-from sensitext.plans.inputs import labelled
+from sensitext.plans.inputs import SCHEMAS, documents, labelled, table
 from sensitext.session import scratch_path
-from sensitext.sources.tables import read_table
 from sensitext.streaming.score_stream import read_stream, score_stream
 
 # Full-batch steps of a linear student need a larger rate than small-batch training.
@@ -55,22 +54,21 @@ def student_predict(spark, data_dir):
 def probe_report(spark, data_dir):
     """Predictions of conversation turns, counted by role."""
     model, _ = teacher(spark, data_dir)
-    turns = read_table(spark, data_dir, "conversations", F.col("role").alias("kind"), "text")
+    turns = table(spark, data_dir, "conversations", F.col("role").alias("kind"), "text")
     return predict_probes(turns, model)
 
 
 def detect_texts(spark, data_dir):
     """The detector over every document."""
     model, _ = teacher(spark, data_dir)
-    docs = read_table(spark, data_dir, "documents", "doc_id", "text", spread=True)
-    return detect(docs, model, keep=("doc_id",))
+    return detect(documents(spark, data_dir), model, keep=("doc_id",))
 
 
 def stream_texts(spark, data_dir):
     """The detector over conversation turns that arrive as a stream."""
     model, _ = teacher(spark, data_dir)
-    schema = "conv_id bigint, turn bigint, role string, text string"
-    stream = read_stream(spark, f"{data_dir}/conversations.[p]arquet", schema)
+    source = f"{data_dir}/conversations.[p]arquet"
+    stream = read_stream(spark, source, SCHEMAS["conversations"])
     sink = scratch_path(spark, "stream-texts")
     query = score_stream(
         stream, model, f"{sink}/out", f"{sink}/checkpoint", keep=("conv_id", "turn")

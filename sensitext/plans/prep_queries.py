@@ -14,9 +14,16 @@ from sensitext.operators.prep import (
     prune,
 )
 from sensitext.operators.profile import column_report, label_distribution, split_sizes
-from sensitext.plans.inputs import SQL_LABELLED, documents, labelled, r6, sql_r6, sql_split
+from sensitext.plans.inputs import (
+    SQL_LABELLED,
+    documents,
+    labelled,
+    r6,
+    sql_r6,
+    sql_split,
+    table,
+)
 from sensitext.plans.text_sql import sql_tokens
-from sensitext.sources.tables import read_table
 
 
 def labelled_join(spark, data_dir):
@@ -24,7 +31,7 @@ def labelled_join(spark, data_dir):
 
 
 def label_map(spark, data_dir):
-    labels = read_table(spark, data_dir, "labels", "doc_id", F.col("toxic").alias("label"))
+    labels = table(spark, data_dir, "labels", "doc_id", F.col("toxic").alias("label"))
     return labels.select("doc_id", "label", label_name("label").alias("label_name"))
 
 
@@ -36,7 +43,7 @@ def coerce_text_query(spark, data_dir):
 
 
 def coerce_label_query(spark, data_dir):
-    labels = read_table(spark, data_dir, "labels")
+    labels = table(spark, data_dir, "labels")
     sign = F.when(F.col("doc_id") % 3 == 0, "-").otherwise("")
     written = F.concat(
         sign, F.col("toxic").cast("string"), F.lit("."), (F.col("doc_id") % 10).cast("string")
@@ -49,18 +56,18 @@ def hash_split_query(spark, data_dir):
 
 
 def prune_query(spark, data_dir):
-    docs = read_table(spark, data_dir, "documents", spread=True)
+    docs = table(spark, data_dir, "documents", spread=True)
     counted = docs.withColumn("n_tokens", F.size(basic_tokens("text")))
     return prune(counted, drop=("text", "n_chars", "source"))
 
 
 def assign_batches_query(spark, data_dir):
-    ids = read_table(spark, data_dir, "documents", "doc_id")
+    ids = table(spark, data_dir, "documents", "doc_id")
     return assign_batches(ids, 32, "doc_id", epochs=[1, 2])
 
 
 def ordered_batches(spark, data_dir):
-    ids = read_table(spark, data_dir, "documents", "doc_id")
+    ids = table(spark, data_dir, "documents", "doc_id")
     return assign_batches(ids, 32, "doc_id", shuffle=False)
 
 

@@ -31,6 +31,7 @@ from sensitext.operators.predict import (
     score_distinct,
 )
 from sensitext.plans.inputs import (
+    SCHEMAS,
     SQL_SCORED,
     SQL_TEACHER,
     STUDENT_HEADS,
@@ -221,8 +222,8 @@ def parity_summary_query(spark, data_dir):
 
 def stream_score(spark, data_dir):
     """Scores the vector table as a stream, to its end, and reads the sink."""
-    schema = "vec_id bigint, embedding array<float>, label int"
-    stream = read_stream(spark, f"{data_dir}/embeddings.[p]arquet", schema)
+    source = f"{data_dir}/embeddings.[p]arquet"
+    stream = read_stream(spark, source, SCHEMAS["embeddings"])
     sink = scratch_path(spark, "stream")
     query = score_stream(
         stream.select("vec_id", "embedding"),

@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -71,9 +73,22 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write once to the shared folder and read back, which cuts the lineage.
 
-    Used where a costly column is read many times (teacher scores, training features);
-    losing an executor then costs a re-read and no recomputation.
+    Used where a costly column is read many times; losing an executor then costs a
+    re-read and no recomputation. The written table stays until its owner removes it.
     """
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def stored_once(df: DataFrame, name: str) -> Iterator[DataFrame]:
+    """Like :func:`materialise` for the time of a block; the table is removed at its end."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    try:
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)

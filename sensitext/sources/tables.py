@@ -8,18 +8,24 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 
 def read_table(
-    spark: SparkSession, data_dir: str, name: str, *columns: str | Column, spread: bool = False
+    spark: SparkSession,
+    data_dir: str,
+    name: str,
+    *columns: str | Column,
+    schema: str | None = None,
+    spread: bool = False,
 ) -> DataFrame:
-    """One Parquet table, narrowed to ``columns``.
+    """One Parquet table, narrowed to ``columns``; a given ``schema`` spares reading footers.
 
-    ``spread`` is for text-heavy work: a table stored as fewer splits than the cluster
-    has cores is dealt out evenly first. A table with enough splits is left as it is.
+    ``spread`` is for text-heavy work: a table stored as so few splits that half of the
+    cores would idle is dealt out evenly first. Any other table is left as it is.
     """
-    df = spark.read.parquet(os.path.join(data_dir, f"{name}.parquet"))
+    path = os.path.join(data_dir, f"{name}.parquet")
+    df = (spark.read.schema(schema) if schema else spark.read).parquet(path)
     if columns:
         df = df.select(*columns)
     cores = spark.sparkContext.defaultParallelism
-    if spread and df.rdd.getNumPartitions() < cores:
+    if spread and 2 * df.rdd.getNumPartitions() <= cores:
         df = df.repartition(cores)
     return df
 
