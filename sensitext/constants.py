@@ -1,7 +1,6 @@
 """Values that results depend on."""
 
-# Special token ids, vocabulary size and sequence length of the
-# published Chinese BERT vocabulary layout.
+# Special token ids, vocabulary size and sequence lengths.
 PAD_ID = 0
 UNK_ID = 100
 CLS_ID = 101

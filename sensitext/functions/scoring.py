@@ -12,7 +12,9 @@ from sensitext.functions.binding import bind
 
 def linear_logits(vector: Column | str, heads: Sequence[Sequence[float]]) -> Column:
     """One dot product per class head over a vector column, computed in double."""
-    heads_lit = F.array(*[F.array(*[F.lit(float(w)) for w in head]) for head in heads])
+    # One parsed literal: a literal per weight would cost a call into the JVM each.
+    rows = ("array(" + ", ".join(f"double('{float(w)!r}')" for w in head) + ")" for head in heads)
+    heads_lit = F.expr("array(" + ", ".join(rows) + ")")
 
     def dot(v: Column, h: Column) -> Column:
         products = F.zip_with(v, h, lambda x, w: x * w)

@@ -60,9 +60,15 @@ def test_join_back_of_distinct_scores_can_be_split(spark, data_dir):
     assert join.count("Exchange hashpartitioning(_digest") == 2
 
 
-def test_batch_offsets_are_the_only_broadcast(spark, data_dir):
-    plan = plan_of(assign_batches(spark.range(10), 4))
-    assert plan.count("BroadcastExchange") == 1
+def test_batch_numbering_moves_rows_once(spark):
+    """Joining the bucket offsets adds no second shuffle or sort of the rows."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = plan_of(assign_batches(spark.range(10), 4))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    left = plan[plan.index("SortMergeJoin"):plan.index("Generate explode")]
+    assert left.count("Exchange") == 1 and left.count("Sort [") == 1
     assert "SinglePartition" not in plan
 
 
