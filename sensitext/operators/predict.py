@@ -26,6 +26,9 @@ from sensitext.functions.scoring import (
 )
 
 Scorer = Callable[[DataFrame], DataFrame]
+# A text is hot if it fills more than one in so many rows, and so many rows at least.
+_HOT_VALUES = 10_000
+_HOT_ROWS = 10_000
 
 
 def linear_score(
@@ -144,21 +147,53 @@ def predict_probes(probes: DataFrame, model) -> DataFrame:
     )
 
 
+def hot_values(
+    df: DataFrame, key: str, top: int = _HOT_VALUES, min_rows: int = _HOT_ROWS
+) -> DataFrame:
+    """Hashes of values that fill more than one in ``top`` rows, so fewer than ``top`` rows.
+
+    Values with fewer than ``min_rows`` copies do not count.
+
+    One pass with a frequent-items sketch of fixed size. An inexact sketch is harmless: the
+    result only decides which rows are spread over more tasks.
+    """
+    hashed = df.select(F.xxhash64(key).alias("h"))
+    row = hashed.agg(
+        F.expr(f"approx_top_k(h, {top}, {10 * top})").alias("top"), F.count(F.lit(1)).alias("n")
+    ).first()
+    least = max(min_rows, row.n // top + 1)
+    hot = [(found["item"],) for found in row.top or [] if found["count"] >= least]
+    return df.sparkSession.createDataFrame(hot, "_hash bigint")
+
+
 def score_distinct(
     df: DataFrame, model, key: str = "text", keep: Sequence[str] | None = None
 ) -> DataFrame:
     """Score each distinct text once and give every copy the result.
 
-    Worth its shuffles for a heavy model. The join back uses a digest of the text: the
-    scored side is then a few bytes per row, and both sides of the join are plain
-    shuffles on the digest, the form in which adaptive execution splits the partition
-    of a text that fills a large part of the corpus.
+    Worth its shuffles for a heavy model. The join back is on a digest of the text, so the
+    scored side is a few bytes per row. Copies of a hot text are spread over all shuffle
+    partitions by a salt, for which its one result is repeated; AQE alone would not do, as
+    it goes by compressed bytes and copies compress to little.
     """
     # Never null, so that the optimizer adds no second digest as a null check.
     digest: Column = F.coalesce(F.sha2(F.col(key), 256), F.lit(""))
-    keep = [c for c in df.columns] if keep is None else list(keep)
+    keep = list(df.columns) if keep is None else list(keep)
+    salts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # Fewer than _HOT_VALUES rows whatever the size of the corpus.
+    hot = F.broadcast(hot_values(df, key).withColumn("_hot", F.lit(True)))
+
+    def marked(rows: DataFrame) -> DataFrame:
+        hashed = rows.withColumns({"_digest": digest, "_hash": F.xxhash64(key)})
+        return hashed.join(hot, "_hash", "left").drop("_hash")
+
+    # A task's rows share a salt, which a repeated task finds again.
+    salt = F.when(F.col("_hot"), F.spark_partition_id() % salts).otherwise(F.lit(0))
+    salted = marked(df).withColumn("_salt", salt).select(*keep, "_digest", "_salt")
+
     unique = df.select(key).where(F.col(key).isNotNull()).distinct()
-    scored = score(unique, model).select(digest.alias("_digest"), "logits")
-    return df.withColumn("_digest", digest).select(*keep, "_digest").join(
-        scored, "_digest", "left"
-    ).drop("_digest")
+    last = F.when(F.col("_hot"), F.lit(salts - 1)).otherwise(F.lit(0))
+    scored = marked(score(unique, model)).select(
+        "_digest", F.explode(F.sequence(F.lit(0), last)).alias("_salt"), "logits"
+    )
+    return salted.join(scored, ["_digest", "_salt"], "left").drop("_digest", "_salt")

@@ -4,15 +4,16 @@ import sys
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 import __spark_entry__ as entry_points  # noqa: E402
 
 from sensitext.operators.encoding import encode
-from sensitext.operators.predict import score_distinct
+from sensitext.operators.predict import hot_values, score_distinct
 from sensitext.operators.prep import assign_batches
 from sensitext.operators.train import evaluate
-from sensitext.plans.inputs import documents, labelled
+from sensitext.plans.inputs import labelled
 
 
 def plan_of(df):
@@ -47,17 +48,28 @@ def test_scans_read_only_what_is_asked(spark, data_dir):
     assert "EqualTo(toxic,1)" in plan and "GreaterThan(doc_id,7)" in plan
 
 
-def test_join_back_of_distinct_scores_can_be_split(spark, data_dir):
-    """Both sides of the join are a sort over a plain shuffle, so hot texts can be split."""
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+def test_copies_of_a_hot_text_are_spread(spark):
+    """A text that fills a third of the rows does not fill one task of the join back."""
+    texts = F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("t"), F.col("id")))
+    df = spark.range(0, 45000, 1, 16).select("id", texts.alias("text"))
+    assert hot_values(df, "text").count() == 1
+    assert hot_values(df, "text", min_rows=15001).count() == 0
+    keys = ("autoBroadcastJoinThreshold", "adaptive.autoBroadcastJoinThreshold", "shuffle.partitions")
+    for key, value in zip(keys, ("-1", "-1", "8")):
+        spark.conf.set(f"spark.sql.{key}", value)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
-        docs = documents(spark, data_dir)
-        plan = plan_of(score_distinct(docs, lambda d: d.selectExpr("*", "array(0D, 1D) logits")))
+        scored = score_distinct(df, lambda d: d.selectExpr("*", "array(0D, double(length(text))) logits"))
+        assert "SortMergeJoin" in plan_of(scored)
+        rows = scored.withColumn("task", F.spark_partition_id()).collect()
     finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    join = plan[plan.index("SortMergeJoin"):]
-    assert join.count("Sort [_digest") == 2
-    assert join.count("Exchange hashpartitioning(_digest") == 2
+        for key in keys[:2]:
+            spark.conf.unset(f"spark.sql.{key}")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(rows) == 45000 and all(r.logits[1] == len(r.text) for r in rows)
+    hot_tasks = {r.task for r in rows if r.text == "hot"}
+    assert len(hot_tasks) > 3
 
 
 def test_batch_numbering_moves_rows_once(spark):
