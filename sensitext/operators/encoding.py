@@ -53,7 +53,8 @@ def build_vocab(df: DataFrame, size: int = VOCAB_SIZE, text_col: str = "text") -
 
     Special tokens keep their reserved ids; then come all characters and their ``##``
     forms, then words, each by falling count and rising token. Characters are counted
-    over distinct words, so the corpus itself is exploded once, into words.
+    over distinct words, so the corpus itself is exploded once, into words. For the final
+    choice each task sends on its first entries alone, never more than ``size``.
     """
     room = size - FIRST_FREE_ID
     if room <= 0 or size > VOCAB_SIZE:

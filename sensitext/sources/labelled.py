@@ -7,8 +7,8 @@ from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from sensitext.constants import PANDAS_NA
-from sensitext.operators.prep import check_columns
+from sensitext.constants import PANDAS_NA, SEED
+from sensitext.operators.prep import check_columns, hash_split
 
 
 def read_labelled_csv(
@@ -18,7 +18,8 @@ def read_labelled_csv(
 
     Both columns are read as strings, so that a label such as ``1.0`` survives for
     :func:`sensitext.operators.prep.coerce_label`. Quoted cells may hold line ends and
-    doubled quotes. Columns are found by name, in any order.
+    doubled quotes. Columns are found by name, in any order. Since a cell may span lines, a
+    file is read by one task: keep a large data set as a folder of many files.
     """
     reader = (
         spark.read.option("header", True)
@@ -46,6 +47,25 @@ def load_splits(
     return parts[0].unionByName(parts[1])
 
 
+def write_splits(
+    spark: SparkSession,
+    input_path: str,
+    output_dir: str,
+    train_fraction: float = 0.8,
+    seed: int = SEED,
+) -> None:
+    """Split one labelled CSV by the hash of its texts and write ``train.csv`` and ``val.csv``.
+
+    Both are folders of part files that :func:`load_splits` reads.
+    """
+    rows = hash_split(read_labelled_csv(spark, input_path), None, train_fraction, seed)
+    for split, file in (("train", "train.csv"), ("validation", "val.csv")):
+        part = rows.where(F.col("split") == split).select("text", "label")
+        part.write.option("header", True).option("escape", '"').csv(
+            os.path.join(output_dir, file)
+        )
+
+
 def texts(spark: SparkSession, values: Sequence[str | None]) -> DataFrame:
     """A literal list of texts, with its order in ``i``."""
     return spark.createDataFrame(list(enumerate(values)), "i int, text string")

@@ -5,7 +5,7 @@ from pyspark.errors import PySparkException
 
 from sensitext.constants import ID2LABEL, SPECIAL_TOKENS
 from sensitext.operators.prep import coerce_label
-from sensitext.sources.labelled import load_splits, read_labelled_csv, texts
+from sensitext.sources.labelled import load_splits, read_labelled_csv, texts, write_splits
 from sensitext.sources.settings import load_label_map, load_tokenizer_settings, load_vocab
 from sensitext.sources.sinks import append_history, read_history, write_predictions
 from sensitext.sources.tables import labelled_from_tables
@@ -64,6 +64,17 @@ def test_splits_come_from_two_files_by_column_name(spark, folder):
     assert (held.text, held.label) == ("held out", 1)
 
 
+def test_written_splits_read_back_the_same(spark, folder, tmp_path):
+    more = tmp_path / "all.csv"
+    more.write_text(CSV + "".join(f'"copy, {i % 20}\nnext",{i % 2}\n' for i in range(60)))
+    write_splits(spark, str(more), str(tmp_path / "out"))
+    back = load_splits(spark, str(tmp_path / "out"))
+    want = sorted(map(repr, (tuple(r) for r in read_labelled_csv(spark, str(more)).collect())))
+    assert sorted(repr((r.text, r.label)) for r in back.collect()) == want
+    assert back.select("text").distinct().count() == back.select("split", "text").distinct().count()
+    assert {r.split for r in back.collect()} == {"train", "validation"}
+
+
 def test_missing_split_file_is_an_error(spark, tmp_path):
     with pytest.raises(PySparkException):
         load_splits(spark, str(tmp_path))
