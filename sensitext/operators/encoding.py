@@ -222,13 +222,13 @@ def length_profile(
     """
     n = F.size("input_ids")
     rows = encoded.select("split", n.alias("n"), "truncated", *([batch_col] if batch_col else []))
-    extra = {}
+    extra = []
     if batch_col:
-        per_batch = rows.groupBy("split", batch_col).agg(
-            (F.max("n") * F.count(F.lit(1)) - F.sum("n")).alias("waste")
-        )
-        extra = per_batch.groupBy("split").agg(F.sum("waste").alias("padding_longest"))
-    profile = rows.groupBy("split").agg(
+        # In one pass over the encoded rows; a batch holds a fixed number of them.
+        batch = Window.partitionBy("split", batch_col)
+        rows = rows.withColumn("_longest", F.max("n").over(batch))
+        extra = [F.sum(F.col("_longest") - F.col("n")).alias("padding_longest")]
+    return rows.groupBy("split").agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.avg("n").alias("mean_length"),
         F.max("n").alias("max_length"),
@@ -236,8 +236,8 @@ def length_profile(
         F.percentile("n", F.lit(0.95)).alias("p95_length"),
         F.avg(F.col("truncated").cast("double")).alias("truncated_share"),
         F.sum(F.lit(max_length) - F.col("n")).alias("padding_fixed"),
+        *extra,
     )
-    return profile.join(extra, "split") if batch_col else profile
 
 
 def _specials(spark: SparkSession) -> DataFrame:
