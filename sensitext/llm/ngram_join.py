@@ -31,6 +31,7 @@ from sensitext.llm.components import components
 from sensitext.session import materialise
 
 BUCKET_BYTES = 24 << 20
+CHUNK_BYTES = 8 << 20
 BLOCK_SETS = 2048
 BLOCK_GRAMS = 2_000_000
 # A set this close to an answered one (differing grams per gram) takes over its answer.
@@ -50,31 +51,37 @@ def gram_sets(raw: np.ndarray, bounds: np.ndarray, n: int) -> list[np.ndarray]:
 
 
 def _deal(n: int, buckets: int):
-    """Rows ``bucket, part``: packed ids, counts and low hash halves of a run of documents."""
+    """Rows ``bucket, part``: the grams of a chunk of documents, by their leading bits.
+
+    In a bucket a document is its chunk's key and its place there; ids and set sizes of the chunk
+    go under a bucket number below 0.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = np.asarray(batch.column(0).to_numpy(zero_copy_only=False), np.int64)
             raw, bounds = byte_view(batch.column(1))
-            for lo, hi in spans_of(bounds):
+            for lo, hi in spans_of(bounds, CHUNK_BYTES):
                 sets = gram_sets(raw[bounds[lo] : bounds[hi]], bounds[lo : hi + 1] - bounds[lo], n)
                 sizes = np.array([len(s) for s in sets])
-                grams = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
-                if not len(grams):
-                    continue
+                body = ids[lo:hi].tobytes() + sizes.astype(np.int64).tobytes()
+                key = np.int64(xxhash.xxh3_64_intdigest(body) >> 1)
+                names = [-1 - int(key) % buckets]
+                parts = [np.array([key, hi - lo, 8, 8], np.int64).tobytes() + body]
+                grams = np.concatenate(sets)
                 row = np.repeat(np.arange(len(sets)), sizes)
                 to = ((grams >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
                 order = np.argsort(to.astype(np.uint32), kind="stable")
                 to, row, low = to[order].astype(np.int64), row[order], grams[order].astype(np.uint32)
                 cuts = np.searchsorted(to, np.arange(buckets + 1))
-                names, parts = [], []
                 for k in np.flatnonzero(cuts[1:] > cuts[:-1]):
                     rows, counts = np.unique(row[cuts[k] : cuts[k + 1]], return_counts=True)
-                    names.append(k)
+                    wide = [2 if hi - lo < 1 << 16 else 4, 1 if counts.max() < 256 else 4]
+                    names.append(int(k))
                     parts.append(
-                        np.int64(len(rows)).tobytes()
-                        + ids[lo + rows].tobytes()
-                        + counts.astype(np.int32).tobytes()
+                        np.array([key, len(rows), *wide], np.int64).tobytes()
+                        + rows.astype(f"u{wide[0]}").tobytes()
+                        + counts.astype(f"u{wide[1]}").tobytes()
                         + low[cuts[k] : cuts[k + 1]].tobytes()
                     )
                 yield pa.RecordBatch.from_arrays(
@@ -84,22 +91,55 @@ def _deal(n: int, buckets: int):
     return run
 
 
+def _opened(part: bytes) -> tuple[int, np.ndarray, np.ndarray, np.ndarray]:
+    """Key, places, counts and grams of a part."""
+    key, n, first, second = map(int, np.frombuffer(part, np.int64, 4))
+    places = np.frombuffer(part, f"u{first}", n, 32)
+    counts = np.frombuffer(part, f"u{second}", n, 32 + first * n)
+    at = 32 + (first + second) * n
+    return key, places, counts, np.frombuffer(part, np.uint8, -1, at).view(np.uint32)
+
+
 def _shared(table: pa.Table) -> pa.Table:
-    """Per document of a bucket: its grams there, and those that another document has too."""
-    ids, counts, grams = [], [], []
-    for part in table.column("part").to_pylist():
-        n = int(np.frombuffer(part, np.int64, 1)[0])
-        ids.append(np.frombuffer(part, np.int64, n, 8))
-        counts.append(np.frombuffer(part, np.int32, n, 8 + 8 * n))
-        grams.append(np.frombuffer(part, np.uint32, -1, 8 + 12 * n))
-    ids, counts, grams = np.concatenate(ids), np.concatenate(counts), np.concatenate(grams)
-    row = np.repeat(np.arange(len(ids), dtype=np.int32), counts)
+    """Of each chunk in a bucket: how many grams of its documents stand in another document."""
+    if table.column("bucket")[0].as_py() < 0:
+        parts = table.column("part").to_pylist()
+        keys = [int(np.frombuffer(p, np.int64, 1)[0]) for p in parts]
+        return pa.table({"chunk": keys, "sizes": [True] * len(parts), "part": parts})
+    keys, places, counts, grams = zip(*map(_opened, table.column("part").to_pylist()))
+    ends = np.cumsum([0, *map(len, places)])
+    grams = np.concatenate(grams)
+    pair = np.repeat(np.arange(ends[-1], dtype=np.int32), np.concatenate(counts))
     order = np.argsort(grams)
     grams = grams[order]
     same = grams[1:] == grams[:-1]
     again = np.concatenate((same, [False])) | np.concatenate(([False], same))
-    shared = np.bincount(row[order][again], minlength=len(ids))
-    return pa.table({"doc_id": ids, "n": counts.astype(np.int64), "shared": shared})
+    shared = np.bincount(pair[order][again], minlength=ends[-1])
+    parts = []
+    for key, where, lo, hi in zip(keys, places, ends[:-1], ends[1:]):
+        some = np.flatnonzero(shared[lo:hi])
+        head = np.array([key, len(some), 4, 4], np.int64).tobytes()
+        found = where[some].astype(np.uint32), shared[lo:hi][some].astype(np.uint32)
+        parts.append(head + found[0].tobytes() + found[1].tobytes())
+    return pa.table(
+        {"chunk": pa.array(keys, pa.int64()), "sizes": [False] * len(parts), "part": parts}
+    )
+
+
+def _totals(table: pa.Table) -> pa.Table:
+    """``doc_id, n, shared`` of the documents of a chunk."""
+    shared, ids, sizes = np.zeros(0, np.int64), None, None
+    for is_sizes, part in zip(table.column("sizes").to_pylist(), table.column("part").to_pylist()):
+        _, places, counts, _ = _opened(part)
+        if is_sizes:
+            ids, sizes = places.astype(np.int64), counts.astype(np.int64)
+        elif len(places):
+            if places[-1] >= len(shared):
+                shared = np.concatenate((shared, np.zeros(int(places[-1]) + 1 - len(shared), np.int64)))
+            shared[places] += counts
+    full = np.zeros(len(ids), np.int64)
+    full[: len(shared)] = shared
+    return pa.table({"doc_id": ids, "n": sizes, "shared": full})
 
 
 def _sets(n: int):
@@ -244,12 +284,13 @@ def ngram_components(
     counts = materialise(
         docs.mapInArrow(_deal(n, buckets), "bucket int, part binary")
         .groupBy("bucket")
-        .applyInArrow(_shared, "doc_id bigint, n bigint, shared bigint")
-        .groupBy("doc_id")
-        .agg(F.sum("n").alias("n"), F.sum("shared").alias("shared")),
+        .applyInArrow(_shared, "chunk bigint, sizes boolean, part binary")
+        .groupBy("chunk")
+        .applyInArrow(_totals, "doc_id bigint, n bigint, shared bigint"),
         "gram-counts",
     )
-    alive = counts.where(f"100 * shared >= {percent} * n").select("doc_id")
+    # Joined by sorting at every size: a broadcast would be bound to small inputs.
+    alive = counts.where(f"n > 0 AND 100 * shared >= {percent} * n").select("doc_id").hint("merge")
     sets = materialise(
         docs.join(alive, "doc_id", "left_semi").mapInArrow(
             _sets(n), "doc_id bigint, n bigint, digest string, grams array<bigint>"
@@ -278,13 +319,15 @@ def ngram_components(
     entries = ordered.select("class_id", F.explode(prefix).alias("gram"))
     heads = entries.groupBy("gram").agg(F.min("class_id").alias("head"))
     stars = components(entries.join(heads, "gram").select("class_id", "head"), "class_id", "head")
-    placed = ordered.join(stars, ordered.class_id == stars.id).drop("id")
-    extent = placed.groupBy("root").agg(
-        F.greatest(
-            F.ceil(F.count("*") / block_sets), F.ceil(F.sum(F.size("grams")) / block_grams)
-        ).cast("int").alias("blocks"),
+    sized = stars.join(
+        ordered.select(F.col("class_id").alias("id"), F.size("grams").alias("size")), "id"
+    )
+    extent = sized.groupBy("root").agg(
+        F.greatest(F.ceil(F.count("*") / block_sets), F.ceil(F.sum("size") / block_grams))
+        .cast("int").alias("blocks"),
     )
-    placed = materialise(placed.join(extent, "root"), "gram-clusters")
+    where = sized.join(extent, "root").select(F.col("id").alias("class_id"), "root", "blocks")
+    placed = materialise(ordered.join(where, "class_id"), "gram-clusters")
     small = placed.where("blocks = 1")
     total = small.agg(F.count("*"), F.sum(F.size("grams"))).first()
     bins = max(1, -(-total[0] // block_sets), -(-(total[1] or 0) // block_grams))
