@@ -12,6 +12,7 @@ from sensitext.llm.packing import pack
 from sensitext.llm.pii import pii_report
 from sensitext.llm.quality_net import THRESHOLD, fit_quality, held_out, score_quality
 from sensitext.llm.quality_rules import quality_rules
+from sensitext.llm.repeats import remove_repeats
 from sensitext.llm.sharding import write_shards
 from sensitext.llm.sql import ORACLE
 from sensitext.llm.training_order import read_order, write_training_order
@@ -41,6 +42,10 @@ def op5_training_order(spark, sf_dir):
     return read_order(spark, folder).drop("ids")
 
 
+def op6_suffix_dedup(spark, sf_dir):
+    return remove_repeats(documents(spark, sf_dir))
+
+
 def op7_best_fit_packing(spark, sf_dir):
     return pack(documents(spark, sf_dir))
 
@@ -74,6 +79,7 @@ QUERIES = {
         op3_pii,
         op4_decontaminate,
         op5_training_order,
+        op6_suffix_dedup,
         op7_best_fit_packing,
         op8_licences,
         op9_quality_net,
