@@ -68,4 +68,5 @@ def anchor_runs(raw: np.ndarray, bounds: np.ndarray, window: int):
     new = np.flatnonzero(np.concatenate(([True], (place[1:] != place[:-1]) | (row[1:] != row[:-1]))))
     last = np.concatenate((new[1:], [len(row)])) - 1
     place = place[new]
-    return row[new], hashes[place], place, start[new], start[last]
+    # Smallest hashes crowd near 0, so they are spread again.
+    return row[new], mix(hashes[place] + _SPREAD), place, start[new], start[last]

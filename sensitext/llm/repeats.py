@@ -32,15 +32,19 @@ from sensitext.llm.suffix_array import suffix_array
 from sensitext.session import materialise
 
 WINDOW = 50
-BUCKET_BYTES = 24 << 20
-CHUNK_BYTES = 4 << 20
+BUCKET_BYTES = 8 << 20
+CHUNK_BYTES = 2 << 20
+SCAN_BYTES = 1 << 18
 GROUP_RECORDS = 2048
 SORT_BYTES = 1 << 17
 STRING_BYTES = 1 << 20
 
 # A record that goes on: whole copies have group -1.
 _FOUND = np.dtype(
-    [("doc", "<i8"), ("group", "<i8"), ("start", "<u4"), ("length", "<u2"), ("place", "<u2")]
+    [
+        ("doc", "<i8"), ("group", "<i8"), ("start", "<u4"), ("step", "<u4"), ("count", "<u4"),
+        ("length", "<u2"), ("place", "<u2"),
+    ]
 )
 RESULT = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string"
 
@@ -58,7 +62,7 @@ def _deal(window: int, buckets: int):
                 bounds = all_bounds[lo : hi + 1] - all_bounds[lo]
                 found = [
                     (row + a, anchor, place + bounds[a], first + bounds[a], last + bounds[a])
-                    for a, b in spans_of(bounds, 1 << 20)
+                    for a, b in spans_of(bounds, SCAN_BYTES)
                     for row, anchor, place, first, last in [
                         anchor_runs(raw[bounds[a] : bounds[b]], bounds[a : b + 1] - bounds[a], window)
                     ]
@@ -67,6 +71,11 @@ def _deal(window: int, buckets: int):
                 if not len(row):
                     continue
                 view, length = word_view(raw), last - first + window
+                content = run_hashes(view, first, length)
+                heads, step, count = progressions(row, anchor, content, first)
+                row, anchor, content, place, first, length = (
+                    x[heads] for x in (row, anchor, content, place, first, length)
+                )
                 # Any window of a stretch holds the anchor and a half more on one side.
                 sides = np.full(len(row), ANCHOR + half)
                 on_left, on_right = place - half >= first, first + length >= place + ANCHOR + half
@@ -76,8 +85,10 @@ def _deal(window: int, buckets: int):
                 fields = {
                     "doc": _small(ids[lo + row] - base),
                     "anchor": anchor.astype(np.uint32),
-                    "bytes": run_hashes(view, first, length),
+                    "bytes": content,
                     "start": (first - bounds[row]).astype(np.uint32),
+                    "step": _small(step),
+                    "count": _small(count),
                     "length": length.astype(np.uint16 if 2 * window > 255 else np.uint8),
                     "place": (place - first).astype(np.uint16 if window > 255 else np.uint8),
                     "left": np.where(on_left, left.astype(np.uint16) | 1, 0).astype(np.uint16),
@@ -102,14 +113,34 @@ def _deal(window: int, buckets: int):
     return run
 
 
+def progressions(
+    row: np.ndarray, anchor: np.ndarray, content: np.ndarray, first: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Equal stretches of a row at equal distances count as one.
+
+    Returns the first of each such run, the distance, and their number. A text that
+    repeats a short phrase would else give a record per phrase, all with one anchor.
+    """
+    order = np.lexsort((first, content, anchor, row))
+    key = [x[order] for x in (row, anchor, content)]
+    same = np.concatenate(([False], np.logical_and.reduce([k[1:] == k[:-1] for k in key])))
+    gap = np.where(same, np.diff(first[order], prepend=0), 0)
+    turn = ~same
+    turn[1:] |= same[:-1] & (gap[1:] != gap[:-1])
+    at = np.flatnonzero(turn)
+    count = np.diff(at, append=len(order))
+    step = np.where(count > 1, gap[np.minimum(at + 1, len(order) - 1)], 0)
+    return order[at], step, count
+
+
 def _small(values: np.ndarray) -> np.ndarray:
     top = int(values.max(initial=0))
     return values.astype(np.uint16 if top < 1 << 16 else np.uint32 if top < 1 << 32 else np.uint64)
 
 
 def _opened(part: bytes) -> tuple[int, list[np.ndarray]]:
-    key, base, n, *sizes = map(int, np.frombuffer(part, np.int64, 11))
-    at, fields = 88, []
+    key, base, n, *sizes = map(int, np.frombuffer(part, np.int64, 13))
+    at, fields = 104, []
     for size in sizes:
         fields.append(np.frombuffer(part, f"u{size}", n, at))
         at += size * n
@@ -122,7 +153,7 @@ def _classes(table: pa.Table, group_records: int) -> pa.Table:
     bucket = table.column("bucket")[0].as_py()
     keys, parts = zip(*map(_opened, table.column("part").to_pylist()))
     chunk = np.repeat(np.arange(len(keys)), [len(p[0]) for p in parts])
-    doc, anchor, content, start, length, place, left, right = map(np.concatenate, zip(*parts))
+    doc, anchor, content, start, step, count, length, place, left, right = map(np.concatenate, zip(*parts))
     order = np.lexsort((doc, content, anchor))
     doc, anchor, content = doc[order], anchor[order], content[order]
     left, right = left[order], right[order]
@@ -163,7 +194,9 @@ def _classes(table: pa.Table, group_records: int) -> pa.Table:
         some = np.flatnonzero(pick)
         out = np.empty(len(some), _FOUND)
         out["doc"], out["group"] = doc[some], groups[some]
-        for field, values in (("start", start), ("length", length), ("place", place)):
+        for field, values in (
+            ("start", start), ("step", step), ("count", count), ("length", length), ("place", place)
+        ):
             out[field] = values[order[some]]
         found.append(out)
         origin.append(chunk[order[some]])
@@ -188,12 +221,19 @@ def _per_document(table: pa.Table) -> pa.Table:
     for lo, hi in zip(first, np.append(first[1:], len(rows))):
         own = rows[lo:hi]
         whole = own["group"] < 0
-        at = own["start"][whole].astype(np.int64)
-        copies.append(merged(at, at + own["length"][whole]).tobytes())
+        at = occurrences(own[whole])
+        copies.append(merged(at, at + np.repeat(own["length"][whole], own["count"][whole])).tobytes())
         records.append(own[~whole].tobytes())
     return pa.table({"doc_id": ids, "copies": copies, "records": records})
 
 
+def occurrences(records: np.ndarray) -> np.ndarray:
+    """Starts of all stretches that the records stand for."""
+    start, step, count = (records[c].astype(np.int64) for c in ("start", "step", "count"))
+    nth = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+    return np.repeat(start, count) + nth * np.repeat(step, count)
+
+
 def merged(starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Stretches as rows ``start, end``; those that touch or overlap become one."""
     if not len(starts):
@@ -214,14 +254,17 @@ def cut_out(raw: np.ndarray, cuts: np.ndarray) -> tuple[int, int, int, str]:
     return len(raw), len(raw) - len(left), len(cuts), sha256(left.tobytes()).hexdigest()
 
 
-_OPEN = "array<struct<group: bigint, start: bigint, place: int, content: binary>>"
+_OPEN = (
+    "array<struct<group: bigint, start: bigint, step: bigint, count: bigint, place: int, "
+    "content: binary>>"
+)
 
 
 def _first_cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Results of documents without open records; the others keep text, copies and records."""
-    record = pa.struct(
-        [("group", pa.int64()), ("start", pa.int64()), ("place", pa.int32()), ("content", pa.binary())]
-    )
+    names = ("group", "start", "step", "count", "place", "content")
+    kinds = [pa.int64()] * 4 + [pa.int32(), pa.binary()]
+    record = pa.struct(list(zip(names, kinds)))
     for batch in batches:
         raw, bounds = byte_view(batch.column(1))
         out = []
@@ -232,18 +275,18 @@ def _first_cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if len(records):
                 body = text.tobytes()
                 contents = [
-                    (g, s, p, body[s : s + n]) for _, g, s, n, p in records.tolist()
+                    dict(zip(names, (g, s, step, count, p, body[s : s + n])))
+                    for _, g, s, step, count, n, p in records.tolist()
                 ]
-                contents = [dict(zip(("group", "start", "place", "content"), c)) for c in contents]
                 out.append((doc, len(text), None, None, None, body, copies, contents))
             else:
                 cuts = np.frombuffer(copies, np.int64).reshape(-1, 2)
                 out.append((doc, *cut_out(text, cuts), None, None, None))
-        kinds = [pa.int64()] * 4 + [pa.string(), pa.binary(), pa.binary(), pa.list_(record)]
-        names = [*(x.split()[0] for x in RESULT.split(", ")), "body", "copies", "records"]
+        types = [pa.int64()] * 4 + [pa.string(), pa.binary(), pa.binary(), pa.list_(record)]
+        fields = [*(x.split()[0] for x in RESULT.split(", ")), "body", "copies", "records"]
         columns = zip(*out) if out else [()] * 8
         yield pa.RecordBatch.from_arrays(
-            [pa.array(list(c), t) for c, t in zip(columns, kinds)], names
+            [pa.array(list(c), t) for c, t in zip(columns, types)], fields
         )
 
 
@@ -298,8 +341,9 @@ def _sorted_groups(window: int):
     """``doc_id, start, end``: removed stretches found among the records of some groups."""
 
     def run(table: pa.Table) -> pa.Table:
-        doc, group, start, place = (
-            table.column(c).to_numpy().astype(np.int64) for c in ("doc_id", "group", "start", "place")
+        doc, group, start, step, count, place = (
+            table.column(c).to_numpy().astype(np.int64)
+            for c in ("doc_id", "group", "start", "step", "count", "place")
         )
         contents = table.column("content").to_pylist()
         begin, end = shared_strings(group, place, contents, window)
@@ -319,7 +363,9 @@ def _sorted_groups(window: int):
                 gone = np.flatnonzero(answers[s] < doc[k])
                 if len(gone):
                     first = start[k] + begin[k] + gone
-                    out.append((doc[k], merged(first, first + window)))
+                    cuts = merged(first, first + window)
+                    shift = (np.arange(count[k]) * step[k])[:, None, None]
+                    out.append((doc[k], (cuts + shift).reshape(-1, 2)))
 
         for nth, k in enumerate(some):
             if held > SORT_BYTES and group[k] != group[some[nth - 1]]:
