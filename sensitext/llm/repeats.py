@@ -43,7 +43,7 @@ STRING_BYTES = 1 << 20
 _FOUND = np.dtype(
     [
         ("doc", "<i8"), ("group", "<i8"), ("start", "<u4"), ("step", "<u4"), ("count", "<u4"),
-        ("length", "<u2"), ("place", "<u2"),
+        ("length", "<u2"), ("place", "<u2"), ("late", "?"),
     ]
 )
 RESULT = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string"
@@ -164,20 +164,26 @@ def _classes(table: pa.Table, group_records: int) -> pa.Table:
     least = doc[heads]
     copy = doc > least[cls]
 
-    def meets(check: np.ndarray) -> np.ndarray:
-        """Classes whose half stands in a class of the same anchor with another first document."""
+    def meets(check: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Classes whose half stands in a class of the anchor with another first document.
+
+        The second array marks those among them where that document may be a smaller one.
+        """
         some = np.flatnonzero(check)
         key = group[heads[some]].astype(np.int64) << 16 | check[some]
         by = np.argsort(key, kind="stable")
         key, first = key[by], least[some[by]]
         runs = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1]))) if len(key) else by
-        out = np.zeros(len(check), bool)
+        met, late = np.zeros(len(check), bool), np.zeros(len(check), bool)
         if len(runs):
-            mixed = np.minimum.reduceat(first, runs) < np.maximum.reduceat(first, runs)
-            out[some[by]] = np.repeat(mixed, np.diff(runs, append=len(key)))
-        return out
-
-    on_left, on_right = meets(left[heads]), meets(right[heads])
+            size = np.diff(runs, append=len(key))
+            low, high = np.minimum.reduceat(first, runs), np.maximum.reduceat(first, runs)
+            met[some[by]] = np.repeat(low < high, size)
+            late[some[by]] = np.repeat(low, size) < first
+        return met, late
+
+    (on_left, late_left), (on_right, late_right) = meets(left[heads]), meets(right[heads])
+    late = (late_left | late_right)[cls]
     open_ = ~copy & (on_left | on_right)[cls]
     name = mix((np.uint64(bucket) << np.uint64(32)) | anchor.astype(np.uint64))
     many = np.bincount(group, open_)[group] > group_records
@@ -198,6 +204,7 @@ def _classes(table: pa.Table, group_records: int) -> pa.Table:
             ("start", start), ("step", step), ("count", count), ("length", length), ("place", place)
         ):
             out[field] = values[order[some]]
+        out["late"] = late[some]
         found.append(out)
         origin.append(chunk[order[some]])
     found, origin = np.concatenate(found), np.concatenate(origin)
@@ -261,7 +268,7 @@ _OPEN = (
 
 
 def _first_cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Results of documents without open records; the others keep text, copies and records."""
+    """Results of documents that no open record can shorten; the others keep text and copies."""
     names = ("group", "start", "step", "count", "place", "content")
     kinds = [pa.int64()] * 4 + [pa.int32(), pa.binary()]
     record = pa.struct(list(zip(names, kinds)))
@@ -272,16 +279,16 @@ def _first_cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             text = raw[bounds[k] : bounds[k + 1]]
             copies = batch.column(2)[k].as_py() or b""
             records = np.frombuffer(batch.column(3)[k].as_py() or b"", _FOUND)
-            if len(records):
-                body = text.tobytes()
-                contents = [
-                    dict(zip(names, (g, s, step, count, p, body[s : s + n])))
-                    for _, g, s, step, count, n, p in records.tolist()
-                ]
+            body = text.tobytes() if len(records) else b""
+            contents = [
+                dict(zip(names, (g, s, step, count, p, body[s : s + n])))
+                for _, g, s, step, count, n, p, _ in records.tolist()
+            ]
+            if records["late"].any():
                 out.append((doc, len(text), None, None, None, body, copies, contents))
             else:
                 cuts = np.frombuffer(copies, np.int64).reshape(-1, 2)
-                out.append((doc, *cut_out(text, cuts), None, None, None))
+                out.append((doc, *cut_out(text, cuts), None, None, contents))
         types = [pa.int64()] * 4 + [pa.string(), pa.binary(), pa.binary(), pa.list_(record)]
         fields = [*(x.split()[0] for x in RESULT.split(", ")), "body", "copies", "records"]
         columns = zip(*out) if out else [()] * 8
@@ -434,7 +441,7 @@ def remove_repeats(
         "repeat-first",
     )
     waiting = first.where("body IS NOT NULL")
-    records = waiting.select("doc_id", F.explode("records").alias("r")).select("doc_id", "r.*")
+    records = first.select("doc_id", F.explode("records").alias("r")).select("doc_id", "r.*")
     size = records.agg(F.sum(F.octet_length("content"))).first()[0] or 0
     parts = max(1, -(-size // string_bytes))
     stretches = (
