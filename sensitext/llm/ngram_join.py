@@ -299,19 +299,21 @@ def ngram_components(
     )
     classes = materialise(
         sets.groupBy("digest").agg(
-            F.min("doc_id").alias("class_id"), F.count("*").alias("copies")
+            F.min("doc_id").alias("class_id"), F.first("n").alias("n"), F.count("*").alias("copies")
         ),
         "gram-classes",
     )
-    one = sets.join(classes.select("class_id", "copies"), F.col("doc_id") == F.col("class_id"))
-    grams = one.select("class_id", "n", "copies", F.explode("grams").alias("gram"))
+    ids = classes.select(F.col("class_id").alias("doc_id")).hint("merge")
+    one = sets.select("doc_id", "grams").join(ids, "doc_id", "left_semi")
+    grams = one.select(F.col("doc_id").alias("class_id"), F.explode("grams").alias("gram"))
     common = grams.groupBy("gram").agg(F.count("*").alias("df")).where("df > 1")
     rare_first = F.sort_array(F.collect_list(F.struct("df", "gram")))["gram"]
     least = F.ceil(F.col("n") * percent / 100).cast("int")
     ordered = materialise(
-        grams.join(common, "gram")
+        grams.join(common.hint("merge"), "gram")
         .groupBy("class_id")
-        .agg(F.first("n").alias("n"), F.first("copies").alias("copies"), rare_first.alias("grams"))
+        .agg(rare_first.alias("grams"))
+        .join(classes.select("class_id", "n", "copies"), "class_id")
         .where(F.size("grams") >= least),
         "gram-ordered",
     )
@@ -327,7 +329,7 @@ def ngram_components(
         .cast("int").alias("blocks"),
     )
     where = sized.join(extent, "root").select(F.col("id").alias("class_id"), "root", "blocks")
-    placed = materialise(ordered.join(where, "class_id"), "gram-clusters")
+    placed = materialise(ordered.join(where.hint("merge"), "class_id"), "gram-clusters")
     small = placed.where("blocks = 1")
     total = small.agg(F.count("*"), F.sum(F.size("grams"))).first()
     bins = max(1, -(-total[0] // block_sets), -(-(total[1] or 0) // block_grams))

@@ -19,11 +19,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from sensitext.llm.common import mix
 from sensitext.llm.tokens import tokenizer_path, word_tokenizer
-from sensitext.session import materialise
+from sensitext.session import scratch_path
 
 SEQ_LEN, SHARD_SLOTS, END = 1024, 4096, 1
 ROUNDS = 6
@@ -95,23 +95,23 @@ def write_training_order(
     """
     spark = docs.sparkSession
     # Written once, so that the numbers stay what they are if a task runs again.
-    sequences = materialise(
-        token_sequences(docs, path or tokenizer_path(), seq_len, end), "sequences"
-    )
-    sizes = sequences.groupBy("part").agg(F.count("*").alias("n"))
-    total = sizes.agg(F.sum("n")).first()[0] or 0
+    stored = scratch_path(spark, "sequences")
+    drafts = token_sequences(docs, path or tokenizer_path(), seq_len, end)
+    drafts.write.option("compression", "zstd").parquet(stored)
+    sequences = spark.read.schema(drafts.schema).parquet(stored)
     # One row per task of the first pass.
-    before = F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
-    starts = sizes.select("part", F.coalesce(before, F.lit(0)).alias("before"))
-    numbered = sequences.join(starts, "part").select(
-        (F.col("before") + F.col("nth")).alias("number"), "doc_id", "piece", "length", "ids"
-    )
+    sizes = dict(sequences.groupBy("part").agg(F.count("*")).collect())
+    total = sum(sizes.values())
+    before = np.zeros(max(sizes, default=0) + 2, np.int64)
+    before[[p + 1 for p in sizes]] = list(sizes.values())
+    shared = spark.sparkContext.broadcast(np.cumsum(before))
 
     def to_slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            slots = feistel(np.asarray(batch.column(0)), total, key)
+            part, nth = (np.asarray(batch.column(c)) for c in (0, 1))
+            slots = feistel(shared.value[part] + nth, total, key)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(slots), *batch.columns[1:]], ["slot", *batch.schema.names[1:]]
+                [pa.array(slots), *batch.columns[2:]], ["slot", *batch.schema.names[2:]]
             )
 
     stride = HEADER + 2 * seq_len
@@ -146,7 +146,7 @@ def write_training_order(
 
     parts = max(1, -(-total // shard_slots))
     (
-        numbered.mapInArrow(
+        sequences.mapInArrow(
             to_slots, "slot bigint, doc_id bigint, piece int, length int, ids binary"
         )
         .repartitionByRange(parts, F.floor(F.col("slot") / shard_slots))
