@@ -79,6 +79,8 @@ class WordTokenizer:
         core = lower.rstrip(_TAIL)
         if not _LATIN(core):
             return self._pack(self.tokenizer.encode(word, add_special_tokens=False).ids)
+        if core == word:
+            return self._core(word)
         # Closing marks are a piece of their own, whole.
         return self.cores[core] + self.cores[lower[len(core) :]] if core != lower else self.cores[core]
 
