@@ -21,7 +21,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sensitext.constants import (
     KD_WEIGHT,
-    MODEL_MAX_LENGTH,
     STUDENT_EPOCHS,
     STUDENT_LR,
     TEACHER_WEIGHT_DECAY,
@@ -38,30 +37,6 @@ from sensitext.sources.sinks import append_history
 BETA1, BETA2, EPSILON = 0.9, 0.999, 1e-8
 
 
-def student_spec(
-    teacher: Mapping,
-    hidden_size: int = 256,
-    num_layers: int = 4,
-    num_heads: int = 4,
-    n_features: int | None = None,
-) -> dict:
-    """Student settings from a teacher's configuration, with defaults for what it lacks."""
-    if hidden_size % num_heads:
-        raise ValueError(f"hidden size {hidden_size} is no multiple of {num_heads} heads")
-    vocab_size = int(teacher.get("vocab_size", VOCAB_SIZE))
-    return {
-        "vocab_size": vocab_size,
-        "hidden_size": hidden_size,
-        "num_hidden_layers": num_layers,
-        "num_attention_heads": num_heads,
-        "intermediate_size": hidden_size * 4,
-        "num_labels": int(teacher.get("num_labels", 2)),
-        "max_position_embeddings": int(teacher.get("max_position_embeddings", MODEL_MAX_LENGTH)),
-        "type_vocab_size": int(teacher.get("type_vocab_size", 2)),
-        "n_features": vocab_size if n_features is None else n_features,
-    }
-
-
 def soft_labels(
     df: DataFrame,
     teacher,

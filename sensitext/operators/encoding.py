@@ -36,6 +36,8 @@ from sensitext.operators.prep import coerce_label, coerce_text
 Vocab = DataFrame | dict[str, int]
 MODEL_INPUTS = ("input_ids", "attention_mask", "token_type_ids")
 # Words a Python worker remembers before it starts afresh.
+# Tokens that a vocabulary held by every task may have.
+MAX_VOCAB = 500_000
 _MEMO_WORDS = 500_000
 
 
@@ -48,17 +50,22 @@ def word_counts(df: DataFrame, text_col: str = "text") -> DataFrame:
     )
 
 
-def build_vocab(df: DataFrame, size: int = VOCAB_SIZE, text_col: str = "text") -> DataFrame:
+def build_vocab(
+    df: DataFrame, size: int = VOCAB_SIZE, text_col: str = "text", char_share: float = 0.5
+) -> DataFrame:
     """A vocabulary from a corpus: ``token, id``, at most ``size`` ids.
 
     Special tokens keep their reserved ids; then come all characters and their ``##``
-    forms, then words, each by falling count and rising token. Characters are counted
+    forms, then words, each by falling count and rising token. Characters fill at most
+    ``char_share`` of the ids, so words keep a place in a corpus of very many characters;
+    words longer than ``MAX_WORD_CHARS`` do not count, as they are never split into pieces.
+    Characters are counted
     over distinct words, so the corpus itself is exploded once, into words. For the final
     choice each task sends on its first entries alone, never more than ``size``.
     """
     room = size - FIRST_FREE_ID
-    if room <= 0 or size > VOCAB_SIZE:
-        raise ValueError(f"size must lie between {FIRST_FREE_ID + 1} and {VOCAB_SIZE}")
+    if not 0 < room < MAX_VOCAB:
+        raise ValueError(f"size must lie between {FIRST_FREE_ID + 1} and {MAX_VOCAB}")
     words = word_counts(df, text_col).where(
         (F.length("word") <= MAX_WORD_CHARS) & ~F.col("word").isin(list(SPECIAL_TOKENS))
     )
@@ -82,11 +89,11 @@ def build_vocab(df: DataFrame, size: int = VOCAB_SIZE, text_col: str = "text") -
         F.col("is_char") == 1, F.array(F.col("token"), F.concat(F.lit("##"), F.col("token")))
     ).otherwise(F.array("token"))
     order = [F.desc("is_char"), F.desc("n"), F.asc("token")]
-    top = (
-        counted.select(F.explode(both_forms).alias("token"), "is_char", "n")
-        .orderBy(*order)
-        .limit(room)
-    )
+    forms = counted.select(F.explode(both_forms).alias("token"), "is_char", "n")
+    most_chars = max(1, int(room * char_share))
+    chars = forms.where("is_char = 1").orderBy(*order).limit(most_chars)
+    whole = forms.where("is_char = 0").orderBy(*order).limit(room)
+    top = chars.unionByName(whole).orderBy(*order).limit(room)
     # One task numbers the rows: there are at most ``room`` of them.
     ranked = top.select(
         "token",
@@ -95,7 +102,7 @@ def build_vocab(df: DataFrame, size: int = VOCAB_SIZE, text_col: str = "text") -
     return _specials(df.sparkSession).unionByName(ranked)
 
 
-def vocab_dict(vocab: Vocab, max_size: int = VOCAB_SIZE) -> dict[str, int]:
+def vocab_dict(vocab: Vocab, max_size: int = MAX_VOCAB) -> dict[str, int]:
     """The vocabulary as a dict on the driver; more than ``max_size`` tokens is an error."""
     if not isinstance(vocab, DataFrame):
         result = dict(vocab)

@@ -101,12 +101,15 @@ def predictions(
     id2label: Mapping[int, str] = ID2LABEL,
     logits_col: str = "logits",
 ) -> DataFrame:
-    """Prediction records of scored rows: ``keep``, prediction, confidence, probabilities."""
-    narrow = scored.select(*keep, logits_col)
-    guarded = nan_guard(narrow.withColumnRenamed(logits_col, "_logits"), "_logits")
+    """Prediction records of scored rows: ``keep``, prediction, confidence, probabilities.
+
+    Kept columns stay as they are, a true ``label`` too; a kept column may not have the name of
+    a new one.
+    """
+    kept, guarded = _guarded(scored, keep, logits_col, ("prediction", "confidence", "probabilities"))
     names = [name for _, name in sorted(id2label.items())]
     return guarded.select(
-        *keep,
+        *kept,
         label_name("label", label_map_column(id2label)).alias("prediction"),
         "confidence",
         prob_struct("probs", names).alias("probabilities"),
@@ -119,13 +122,27 @@ def detections(
     threshold: float = THRESHOLD,
     logits_col: str = "logits",
 ) -> DataFrame:
-    """Short records of scored rows: ``keep``, label, confidence, is_sensitive."""
-    narrow = scored.select(*keep, F.col(logits_col).alias("_logits"))
-    return nan_guard(narrow, "_logits").select(
-        *keep, "label", "confidence", decide("probs", threshold).alias("is_sensitive")
+    """Short records of scored rows: ``keep``, label, confidence, is_sensitive.
+
+    A kept column may not have the name of a new one.
+    """
+    kept, guarded = _guarded(scored, keep, logits_col, ("label", "confidence", "is_sensitive"))
+    return guarded.select(
+        *kept, "label", "confidence", decide("probs", threshold).alias("is_sensitive")
     )
 
 
+def _guarded(
+    scored: DataFrame, keep: Sequence[str], logits_col: str, new: Sequence[str]
+) -> tuple[list[Column], DataFrame]:
+    """The guard's columns beside one struct of the kept ones, and the kept ones out of it."""
+    if clash := set(keep) & set(new):
+        raise ValueError(f"kept columns {sorted(clash)} have the names of new ones")
+    logits = F.col(logits_col).alias("_logits")
+    rows = scored.select(*([F.struct(*keep).alias("_kept")] if keep else []), logits)
+    return [F.col(f"_kept.`{name}`") for name in keep], nan_guard(rows, "_logits")
+
+
 def predict(df: DataFrame, model, keep: Sequence[str] = ("text",)) -> DataFrame:
     """Score texts and return prediction records."""
     return predictions(score(df, model), keep, getattr(model, "id2label", ID2LABEL))
@@ -169,7 +186,7 @@ def hot_values(
 def score_distinct(
     df: DataFrame, model, key: str = "text", keep: Sequence[str] | None = None
 ) -> DataFrame:
-    """Score each distinct text once and give every copy the result.
+    """Score each distinct text once and give every copy the result; null counts as a text.
 
     Worth its shuffles for a heavy model. The join back is on a digest of the text, so the
     scored side is a few bytes per row. Copies of a hot text are spread over all shuffle
@@ -191,7 +208,7 @@ def score_distinct(
     salt = F.when(F.col("_hot"), F.spark_partition_id() % salts).otherwise(F.lit(0))
     salted = marked(df).withColumn("_salt", salt).select(*keep, "_digest", "_salt")
 
-    unique = df.select(key).where(F.col(key).isNotNull()).distinct()
+    unique = df.select(key).distinct()
     last = F.when(F.col("_hot"), F.lit(salts - 1)).otherwise(F.lit(0))
     scored = marked(score(unique, model)).select(
         "_digest", F.explode(F.sequence(F.lit(0), last)).alias("_salt"), "logits"

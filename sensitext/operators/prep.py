@@ -50,12 +50,13 @@ def hash_split(
 ) -> DataFrame:
     """Add ``split`` by the hash of a key; by default of the text, so copies stay together.
 
-    The split of a row depends on nothing but its key and the seed.
+    The split of a row depends on nothing but its key and the seed; a null key counts as an
+    empty one.
     """
     if key is None:
         key = F.md5(F.col("text"))
     key = F.col(key) if isinstance(key, str) else key
-    digest = F.md5(F.concat(key.cast("string"), F.lit(f":{seed}")))
+    digest = F.md5(F.concat(F.coalesce(key.cast("string"), F.lit("")), F.lit(f":{seed}")))
     place = F.conv(F.substring(digest, 1, 8), 16, 10).cast("double") / F.lit(_SPLIT_RANGE)
     return df.withColumn(
         "split",

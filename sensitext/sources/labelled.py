@@ -61,9 +61,11 @@ def write_splits(
     rows = hash_split(read_labelled_csv(spark, input_path), None, train_fraction, seed)
     for split, file in (("train", "train.csv"), ("validation", "val.csv")):
         part = rows.where(F.col("split") == split).select("text", "label")
-        part.write.option("header", True).option("escape", '"').csv(
-            os.path.join(output_dir, file)
-        )
+        # White space at either end belongs to the text.
+        writer = part.write.option("header", True).option("escape", '"')
+        for side in ("Leading", "Trailing"):
+            writer = writer.option(f"ignore{side}WhiteSpace", False)
+        writer.csv(os.path.join(output_dir, file))
 
 
 def texts(spark: SparkSession, values: Sequence[str | None]) -> DataFrame:

@@ -10,7 +10,6 @@ from sensitext.operators.distill import (
     fit_student,
     kd_gradient,
     soft_labels,
-    student_spec,
 )
 from sensitext.operators.predict import linear_scorer
 from sensitext.sources.sinks import read_history
@@ -157,11 +156,3 @@ def test_first_step_equals_the_loss_gradient(id_rows):
 def test_no_training_rows_is_an_error(id_rows):
     with pytest.raises(ValueError, match="no training rows"):
         fit_student(id_rows.where("split = 'validation'"), 10, epochs=1)
-
-
-def test_student_spec():
-    spec = student_spec({"vocab_size": 500})
-    assert (spec["vocab_size"], spec["num_labels"], spec["intermediate_size"]) == (500, 2, 1024)
-    assert student_spec({})["vocab_size"] == 21128
-    with pytest.raises(ValueError, match="heads"):
-        student_spec({}, hidden_size=250)

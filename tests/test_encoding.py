@@ -192,3 +192,9 @@ def test_any_text_round_trips(spark, words):
     text = " ".join(words)
     got = tokens_of(spark, text)
     assert "".join(got) == text.replace(" ", "")
+
+
+def test_words_keep_a_place_among_very_many_characters(spark):
+    text = " ".join(chr(0x4E00 + k) for k in range(11_000)) + " hello" * 1000
+    tokens = {r.token for r in build_vocab(spark.createDataFrame([(text,)], "text string")).collect()}
+    assert "hello" in tokens

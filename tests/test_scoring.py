@@ -27,10 +27,12 @@ from sensitext.operators.parity import agreement, parity_report, parity_summary,
 from sensitext.operators.predict import (
     batch_scorer,
     detect,
+    detections,
     linear_score,
     nan_guard,
     predict,
     predict_probes,
+    predictions,
     score,
     score_distinct,
 )
@@ -141,9 +143,19 @@ def test_distinct_scoring_gives_every_copy_the_result(spark, broadcast):
         got = {r.doc_id: r.logits for r in score_distinct(df, length_scorer).collect()}
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    want = {r.doc_id: r.logits for r in length_scorer(df.where("text IS NOT NULL")).collect()}
-    assert got.pop(300) is None
-    assert got == want
+    want = {r.doc_id: r.logits for r in length_scorer(df).collect()}
+    assert got == want and got[300] == [0.0, None]
+
+
+def test_kept_columns_survive(spark):
+    df = spark.createDataFrame([(1, 7, [0.0, 2.0], 0.5)], "id int, label int, logits array<double>, probs double")
+    row = predictions(df, keep=("id", "label", "probs")).first()
+    assert (row.id, row.label, row.probs) == (1, 7, 0.5) and row.prediction == "敏感"
+    assert detections(df, keep=("probs",)).first().label == 1
+    with pytest.raises(ValueError, match="names of new"):
+        detections(df, keep=("label",))
+    with pytest.raises(ValueError, match="names of new"):
+        predictions(df, keep=("label", "confidence"))
 
 
 def test_probe_counts(spark):
