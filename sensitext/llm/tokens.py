@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from array import array
+from operator import attrgetter
 
 MEMO_WORDS = 600_000
 VOCAB = "word_bpe_49k.json"
@@ -36,7 +37,9 @@ class _Memo(dict):
 
 # Lower-case Latin letters that no normal form changes.
 _LATIN = re.compile("[a-zß-öø-ɏ]+").fullmatch
-_TAIL = ".,;:!?"
+# Marks that end a word as a piece of their own; the apostrophe may begin a suffix instead.
+_TAIL = ".,;:!?#$%&*()[]{}<>|/+=-_~\"\\^`@"
+_token_id = attrgetter("id")
 _RUNS = re.compile(r"[^ \t\n\r\f\v]+").findall
 
 
@@ -72,7 +75,7 @@ class WordTokenizer:
     def _core(self, word: str) -> bytes:
         if not word.isascii():
             word = word.encode().decode("latin-1").translate(self.letters)
-        return self._pack([t.id for t in self.model.tokenize(word)])
+        return self._pack(map(_token_id, self.model.tokenize(word)))
 
     def _word(self, word: str) -> bytes:
         lower = word.lower()
