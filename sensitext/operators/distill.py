@@ -62,24 +62,31 @@ def kd_gradient(
     label: str = "label",
     temperature: float = TEMPERATURE,
     kd_weight: float = KD_WEIGHT,
+    groups: int = 64,
 ) -> DataFrame:
     """Gradient of the mean loss by a linear head's weights: ``class, feature, grad``.
 
-    The outer product of logit gradient and features is averaged as a vector in the JVM:
-    a task sends one vector to the merge, whatever the number of its rows.
+    The outer product of logit gradient and features is summed as a vector in the JVM, by
+    ``groups`` of tasks; their sums are then merged weight by weight, so no task takes the
+    vectors of all others.
     """
     gradient = logit_gradient(s_logits, t_logits, label, temperature, kd_weight)
-    rows = df.select(F.col(vec_col).cast("array<double>").alias("_v"), gradient.alias("_g"))
+    rows = df.select(
+        F.col(vec_col).cast("array<double>").alias("_v"),
+        gradient.alias("_g"),
+        (F.spark_partition_id() % groups).alias("_group"),
+    )
     outer = F.flatten(F.transform("_g", lambda g: F.transform("_v", lambda x: g * x)))
-    mean = rows.agg(
-        Summarizer.mean(array_to_vector(outer)).alias("m"), F.max(F.size("_v")).alias("width")
+    sums = rows.groupBy("_group").agg(
+        Summarizer.sum(array_to_vector(outer)).alias("s"),
+        F.count(F.lit(1)).alias("n"),
+        F.max(F.size("_v")).alias("width"),
     )
-    cells = mean.select("width", F.posexplode(vector_to_array("m")).alias("at", "grad"))
-    return cells.select(
+    cells = sums.select("n", "width", F.posexplode(vector_to_array("s")).alias("at", "x"))
+    return cells.groupBy(
         F.floor(F.col("at") / F.col("width")).cast("int").alias("class"),
         (F.col("at") % F.col("width")).cast("int").alias("feature"),
-        "grad",
-    )
+    ).agg((F.sum("x") / F.sum("n")).alias("grad"))
 
 
 @dataclass
@@ -131,7 +138,7 @@ def fit_student(
 ) -> tuple[LinearStudent, list[tuple]]:
     """Distil over ``input_ids, label, t_logits, split``; returns the best student and history.
 
-    One full-batch AdamW step per epoch. Training rows give loss and gradient, validation
+    One full-batch AdamW step per epoch, at a rate that falls evenly from ``lr`` to zero. Training rows give loss and gradient, validation
     rows the accuracy of the same weights, both in one pass; the weights with the highest
     accuracy are kept and the latest wins a tie. With full batches a linear model needs a
     larger ``lr`` and more epochs than the defaults, which are those of small batches.
@@ -152,7 +159,8 @@ def fit_student(
             step = (first / (1 - BETA1**epoch)) / (
                 np.sqrt(second / (1 - BETA2**epoch)) + EPSILON
             )
-            weights = weights * (1 - lr * weight_decay) - lr * step
+            rate = lr * (1 - (epoch - 1) / epochs)
+            weights = weights * (1 - rate * weight_decay) - rate * step
             total = _pass(stored, weights, n_features, temperature, kd_weight)
             accuracy = total["val_acc"]
             history.append((run, epoch, epoch, train_loss, total["eval_loss"], accuracy))

@@ -8,7 +8,7 @@ NumPy; frequent words cost nothing extra and no word becomes a hot key.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -34,10 +34,12 @@ from sensitext.functions.text import (
 from sensitext.operators.prep import coerce_label, coerce_text
 
 Vocab = DataFrame | dict[str, int]
+# The columns that name a batch; the number alone does not where epochs or splits have their own.
+BatchKey = str | Sequence[str]
 MODEL_INPUTS = ("input_ids", "attention_mask", "token_type_ids")
-# Words a Python worker remembers before it starts afresh.
 # Tokens that a vocabulary held by every task may have.
 MAX_VOCAB = 500_000
+# Words a Python worker remembers before it starts afresh.
 _MEMO_WORDS = 500_000
 
 
@@ -147,7 +149,7 @@ def encode(
     max_length: int = MAX_LENGTH,
     padding: str = "none",
     text_col: str = "text",
-    batch_col: str | None = None,
+    batch_col: BatchKey | None = None,
     on_null: str = "nan",
     keep_raw: bool = False,
 ) -> DataFrame:
@@ -170,7 +172,7 @@ def encode(
 
 
 def add_model_inputs(
-    df: DataFrame, padding: str = "none", max_length: int = MAX_LENGTH, batch_col: str | None = None
+    df: DataFrame, padding: str = "none", max_length: int = MAX_LENGTH, batch_col: BatchKey | None = None
 ) -> DataFrame:
     """Pad ``input_ids`` and add mask and token types of the same length."""
     length = padded_length(padding, max_length, batch_col)
@@ -183,7 +185,7 @@ def add_model_inputs(
 
 
 def padded_length(
-    padding: str, max_length: int = MAX_LENGTH, batch_col: str | None = None
+    padding: str, max_length: int = MAX_LENGTH, batch_col: BatchKey | None = None
 ) -> Column | None:
     """Length to pad ``input_ids`` to; a batch holds a fixed number of rows."""
     if padding == "none":
@@ -193,12 +195,14 @@ def padded_length(
     if padding == "longest":
         if batch_col is None:
             raise ValueError("padding='longest' needs batch_col")
-        return F.max(F.size("input_ids")).over(Window.partitionBy(batch_col))
+        return F.max(F.size("input_ids")).over(
+            Window.partitionBy(*_names(batch_col))
+        )
     raise ValueError(f"padding must be 'none', 'longest' or 'max_length', not {padding!r}")
 
 
 def pad(
-    df: DataFrame, padding: str, max_length: int = MAX_LENGTH, batch_col: str | None = None
+    df: DataFrame, padding: str, max_length: int = MAX_LENGTH, batch_col: BatchKey | None = None
 ) -> DataFrame:
     """Pad ``input_ids`` alone."""
     length = padded_length(padding, max_length, batch_col)
@@ -219,7 +223,7 @@ def as_int32(df: DataFrame) -> DataFrame:
 
 
 def length_profile(
-    encoded: DataFrame, max_length: int = MAX_LENGTH, batch_col: str | None = None
+    encoded: DataFrame, max_length: int = MAX_LENGTH, batch_col: BatchKey | None = None
 ) -> DataFrame:
     """Lengths, truncation and padding per split, for unpadded ``encoded``.
 
@@ -228,11 +232,12 @@ def length_profile(
     different lengths.
     """
     n = F.size("input_ids")
-    rows = encoded.select("split", n.alias("n"), "truncated", *([batch_col] if batch_col else []))
+    keys = _names(batch_col) if batch_col else []
+    rows = encoded.select("split", n.alias("n"), "truncated", *[k for k in keys if k != "split"])
     extra = []
     if batch_col:
         # In one pass over the encoded rows; a batch holds a fixed number of them.
-        batch = Window.partitionBy("split", batch_col)
+        batch = Window.partitionBy("split", *[k for k in keys if k != "split"])
         rows = rows.withColumn("_longest", F.max("n").over(batch))
         extra = [F.sum(F.col("_longest") - F.col("n")).alias("padding_longest")]
     return rows.groupBy("split").agg(
@@ -247,6 +252,10 @@ def length_profile(
     )
 
 
+def _names(key: BatchKey) -> list[str]:
+    return [key] if isinstance(key, str) else list(key)
+
+
 def _specials(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(list(SPECIAL_TOKENS.items()), "token string, id int")
 

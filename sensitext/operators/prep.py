@@ -92,11 +92,13 @@ def assign_batches(
     seed: int = SEED,
     epochs: int | Sequence[int] = 1,
     shuffle: bool = True,
+    by: Sequence[str] = (),
 ) -> DataFrame:
     """Add ``epoch``, ``row_index`` and ``batch_id``; the last batch of an epoch may be short.
 
     Shuffled order is by ``md5(id:seed:epoch)``, otherwise by the id itself. ``id_col``
-    must be unique. Rows are numbered inside buckets that follow the order, and a small
+    must be unique. With ``by`` every group, such as a split, has batches of its own. Rows are
+    numbered inside buckets that follow the order, and a small
     table of bucket sizes gives every bucket its start, so no task sees all rows.
     """
     epoch_list = [epochs] if isinstance(epochs, int) else list(epochs)
@@ -110,22 +112,27 @@ def assign_batches(
         rows = rows.withColumn("_order", F.col(id_col))
         bucket = F.size(F.filter(cuts, lambda c: c <= F.col(id_col)))
     rows = rows.withColumn("_bucket", bucket)
+    group = ["epoch"]
+    if by:
+        # One name per group, never null.
+        rows = rows.withColumn("_group", F.to_json(F.struct(*by)))
+        group.append("_group")
 
-    before = Window.partitionBy("epoch").orderBy("_bucket").rowsBetween(
+    before = Window.partitionBy(*group).orderBy("_bucket").rowsBetween(
         Window.unboundedPreceding, -1
     )
     starts = (
-        rows.groupBy("epoch", "_bucket")
+        rows.groupBy(*group, "_bucket")
         .agg(F.count(F.lit(1)).alias("_n"))
         .select(
-            "epoch", "_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start")
+            *group, "_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start")
         )
     )
-    inside = Window.partitionBy("epoch", "_bucket").orderBy("_order", id_col)
+    inside = Window.partitionBy(*group, "_bucket").orderBy("_order", id_col)
     numbered = rows.withColumn("_k", F.row_number().over(inside) - F.lit(1))
     # The numbered rows are partitioned and sorted by the join key already, so this join
     # moves the offsets only, at most 65,536 per epoch whatever the row count.
-    joined = numbered.join(starts, ["epoch", "_bucket"])
+    joined = numbered.join(starts, [*group, "_bucket"])
     index = F.col("_start") + F.col("_k")
     return joined.select(
         *df.columns,

@@ -34,6 +34,9 @@ class Detector:
     id2label: dict[int, str] = field(default_factory=lambda: dict(ID2LABEL))
 
     def encode(self, df: DataFrame) -> DataFrame:
+        """Model inputs of ``text``; rows that have ``input_ids`` are encoded already."""
+        if "input_ids" in df.columns:
+            return df
         return encode(df, self.vocab, self.max_length, keep_raw=True)
 
     def score_encoded(self, encoded: DataFrame) -> DataFrame:
@@ -46,7 +49,7 @@ class Detector:
         )
 
     def score(self, df: DataFrame) -> DataFrame:
-        """Add ``logits`` to rows that have ``text``."""
+        """Add ``logits`` to rows that have ``text`` or ``input_ids``."""
         rows = df if "label" not in df.columns else df.withColumnRenamed("label", "_label")
         scored = self.score_encoded(self.encode(rows)).select(*rows.columns, "logits")
         return scored.withColumnRenamed("_label", "label")
@@ -77,16 +80,28 @@ def fit_teacher(
     n_features: int = 1 << 16,
     bigrams: bool = False,
     vocab_size: int = VOCAB_SIZE,
+    balanced: bool = True,
+    sparsity: float = 0.9,
+    min_rows: int = 3,
 ) -> Detector:
-    """Fit a detector on ``text, label`` rows.
+    """Fit a detector on rows of ``label`` and ``text``, or ``input_ids`` made with ``vocab``.
 
     L-BFGS takes the place of small-batch steps: each iteration is one pass over the
     executors with a tree-shaped sum of gradients, so there is no learning rate and no
-    warm-up; ``weight_decay`` is the L2 penalty. Features are the token ids a text holds
-    and, on request, their bigrams, weighted by IDF.
+    warm-up; ``weight_decay`` is the penalty and ``sparsity`` the share of it that is L1, which
+    sets the weights of most ids to zero. Features are the token ids a text holds
+    and, on request, their bigrams, weighted by IDF; those in fewer than ``min_rows`` rows count
+    nothing. With ``balanced`` both classes weigh the
+    same in the loss, whatever their number of rows.
     """
+    is_encoded = "input_ids" in train.columns
+    if is_encoded and vocab is None:
+        raise ValueError("encoded rows need the vocabulary they were made with")
     ids = vocab_dict(build_vocab(train, vocab_size) if vocab is None else vocab)
-    encoded = encode(train.select("text", "label"), ids, max_length)
+    if is_encoded:
+        encoded = train.select("input_ids", F.col("label").alias("labels"))
+    else:
+        encoded = encode(train.select("text", "label"), ids, max_length)
     grams = "concat(_tokens, _bigrams)" if bigrams else "_tokens"
     stages = [
         SQLTransformer(
@@ -96,20 +111,34 @@ def fit_teacher(
         *([NGram(n=2, inputCol="_tokens", outputCol="_bigrams")] if bigrams else []),
         SQLTransformer(statement=f"SELECT *, {grams} AS _grams FROM __THIS__"),
         HashingTF(numFeatures=n_features, binary=True, inputCol="_grams", outputCol="_seen"),
-        IDF(inputCol="_seen", outputCol="features"),
+        IDF(minDocFreq=min_rows, inputCol="_seen", outputCol="features"),
         LogisticRegression(
             featuresCol="features",
             labelCol="labels",
             regParam=weight_decay,
+            elasticNetParam=sparsity,
             maxIter=max_iter,
             standardization=False,
+            **({"weightCol": "_weight"} if balanced else {}),
         ),
     ]
     # Read once per iteration, so written once as narrow id arrays.
     with stored_once(encoded.select("input_ids", "labels"), "teacher-input") as stored:
+        if balanced:
+            stored = _weighted(stored)
         return Detector(Pipeline(stages=stages).fit(stored), ids, max_length)
 
 
+def _weighted(rows: DataFrame) -> DataFrame:
+    """Add ``_weight``, by which the classes that occur have equal sums."""
+    counts = {r.labels: r.n for r in rows.groupBy("labels").agg(F.count("*").alias("n")).collect()}
+    total = sum(counts.values())
+    weight = F.lit(1.0)
+    for label, n in counts.items():
+        weight = F.when(F.col("labels") == label, total / (len(counts) * n)).otherwise(weight)
+    return rows.withColumn("_weight", weight)
+
+
 def evaluate(model: Detector, df: DataFrame, by: str | None = "split") -> DataFrame:
     """The four metrics and the mean cross-entropy per split, in one pass."""
     scored = model.score(df).withColumn("pred", argmax("logits"))

@@ -9,12 +9,13 @@ from sensitext.functions.text import (
     add_specials_and_truncate,
     attention_mask,
     basic_tokens,
+    leading_tokens,
     token_type_ids,
 )
 from sensitext.operators.encoding import (
     as_int32,
     build_vocab,
-    encode,
+    add_model_inputs,
     length_profile,
     pad,
     tokens_to_ids,
@@ -22,7 +23,7 @@ from sensitext.operators.encoding import (
     wordpiece,
 )
 from sensitext.operators.prep import assign_batches
-from sensitext.plans.inputs import SQL_LABELLED, documents, labelled, r6, sql_r6
+from sensitext.plans.inputs import SQL_LABELLED, documents, labelled_ids, r6, sql_r6
 from sensitext.plans.text_sql import sql_encoded, sql_tokens, sql_vocab, sql_wordpiece
 
 # A small vocabulary makes most words fall into pieces.
@@ -33,9 +34,9 @@ def _joined(ids: Column | str) -> Column:
     return F.array_join(ids, " ")
 
 
-def _encoded(spark, data_dir, **options):
-    rows = labelled(spark, data_dir)
-    return encode(rows, build_vocab(documents(spark, data_dir), VOCAB_SIZE), **options)
+def _encoded(spark, data_dir):
+    vocab = build_vocab(documents(spark, data_dir), VOCAB_SIZE)
+    return labelled_ids(spark, data_dir, vocab).withColumnRenamed("label", "labels")
 
 
 def basic_tokens_query(spark, data_dir):
@@ -65,17 +66,20 @@ def token_ids(spark, data_dir):
 
 def truncate_specials(spark, data_dir):
     docs = documents(spark, data_dir)
-    tokens = docs.select("doc_id", basic_tokens("text").alias("tokens"))
+    # Each token gives one id, so tokens beyond the room of the ids cannot matter.
+    tokens = docs.select("doc_id", leading_tokens("text", MAX_LENGTH - 2).alias("tokens"))
     ids = tokens_to_ids(tokens, build_vocab(docs, SMALL_VOCAB))
     return ids.select("doc_id", _joined(add_specials_and_truncate("ids")).alias("ids"))
 
 
 def pad_longest(spark, data_dir):
-    rows = _encoded(spark, data_dir).select("doc_id", "input_ids")
-    batched = assign_batches(rows, TRAIN_BATCH, "doc_id")
-    padded = pad(batched, "longest", batch_col="batch_id")
+    rows = _encoded(spark, data_dir).select("doc_id", "split", "input_ids")
+    batched = assign_batches(rows, TRAIN_BATCH, "doc_id", epochs=[1, 2], by=["split"])
+    padded = pad(batched, "longest", batch_col=("split", "epoch", "batch_id"))
     return padded.select(
         "doc_id",
+        "split",
+        "epoch",
         "batch_id",
         F.size("input_ids").alias("n"),
         _joined("input_ids").alias("input_ids"),
@@ -98,7 +102,7 @@ def token_type_ids_query(spark, data_dir):
 
 
 def int32_inputs(spark, data_dir):
-    rows = _encoded(spark, data_dir, padding="max_length")
+    rows = add_model_inputs(_encoded(spark, data_dir), "max_length")
     wide = rows.withColumn("input_ids", F.col("input_ids").cast("array<bigint>"))
     return as_int32(wide).select(
         "doc_id",
@@ -109,7 +113,7 @@ def int32_inputs(spark, data_dir):
 
 
 def encode_query(spark, data_dir):
-    return _encoded(spark, data_dir).select(
+    return add_model_inputs(_encoded(spark, data_dir)).select(
         "doc_id",
         *[_joined(c).alias(c) for c in ("input_ids", "attention_mask", "token_type_ids")],
         "labels",
@@ -119,8 +123,8 @@ def encode_query(spark, data_dir):
 
 def length_profile_query(spark, data_dir):
     rows = _encoded(spark, data_dir).select("doc_id", "split", "input_ids", "truncated")
-    batched = assign_batches(rows, TRAIN_BATCH, "doc_id")
-    profile = length_profile(batched, batch_col="batch_id")
+    batched = assign_batches(rows, TRAIN_BATCH, "doc_id", by=["split"])
+    profile = length_profile(batched, batch_col=("split", "batch_id"))
     real = ("mean_length", "median_length", "p95_length", "truncated_share")
     return profile.withColumns({c: r6(c) for c in real})
 
@@ -166,8 +170,9 @@ _WITH_IDS = f"""WITH {sql_vocab('documents', SMALL_VOCAB)},
     ids AS (SELECT doc_id, coalesce(ids, []) AS ids
       FROM documents LEFT JOIN found USING (doc_id))"""
 _BATCHES = f"""batched AS (
-    SELECT *, (row_number() OVER (ORDER BY md5(doc_id || ':42:1'), doc_id) - 1) // {TRAIN_BATCH}
-      AS batch_id FROM encoded)"""
+    SELECT *, (row_number() OVER (PARTITION BY split, epoch
+        ORDER BY md5(doc_id || ':42:' || epoch), doc_id) - 1) // {TRAIN_BATCH} AS batch_id
+      FROM (SELECT encoded.*, e::INT AS epoch FROM encoded, range(1, 3) r(e)))"""
 
 ORACLE = {
     "basic_tokens": f"""SELECT doc_id, len(toks)::INT AS n, {_text('toks')} AS tokens
@@ -182,8 +187,9 @@ ORACLE = {
         {_text(f"list_concat(list_concat([101], ids[1:{MAX_LENGTH - 2}]), [102])")} AS ids
         FROM ids""",
     "pad_longest": f"""{_WITH_ENCODED}, {_BATCHES},
-        sized AS (SELECT *, max(len(ids)) OVER (PARTITION BY batch_id) AS longest FROM batched)
-        SELECT doc_id, batch_id, longest::INT AS n, {_text(_padded('longest'))} AS input_ids
+        sized AS (SELECT *, max(len(ids)) OVER (PARTITION BY split, epoch, batch_id) AS longest
+          FROM batched)
+        SELECT doc_id, split, epoch, batch_id, longest::INT AS n, {_text(_padded('longest'))} AS input_ids
         FROM sized""",
     "pad_max": f"""{_WITH_ENCODED}
         SELECT doc_id, {_text(_padded(str(MAX_LENGTH)))} AS input_ids FROM encoded""",
@@ -201,7 +207,7 @@ ORACLE = {
     "length_profile": f"""{_WITH_ENCODED}, {_BATCHES},
         waste AS (SELECT split, sum(w)::BIGINT AS padding_longest FROM (
           SELECT split, max(len(ids)) * count(*) - sum(len(ids)) AS w
-          FROM batched GROUP BY split, batch_id) GROUP BY split)
+          FROM batched WHERE epoch = 1 GROUP BY split, batch_id) GROUP BY split)
         SELECT split, count(*) AS n_rows, {sql_r6('avg(len(ids))')} AS mean_length,
           max(len(ids))::INT AS max_length,
           {sql_r6('quantile_cont(len(ids), 0.5)')} AS median_length,

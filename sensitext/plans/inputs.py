@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from sensitext.constants import MAX_LENGTH
 from sensitext.functions.losses import ce_loss, kd_loss, total_loss
 from sensitext.functions.scoring import argmax, linear_logits
-from sensitext.operators.prep import hash_split
+from sensitext.operators.encoding import Vocab, encode
+from sensitext.operators.prep import coerce_label, hash_split
 from sensitext.sources.tables import labelled_from_tables, read_table
 
 SCHEMAS = {
@@ -38,8 +40,24 @@ def documents(spark: SparkSession, data_dir: str) -> DataFrame:
 
 
 def labelled(spark: SparkSession, data_dir: str) -> DataFrame:
+    """The split is computed below the join, so a plan that needs no text moves none."""
     labels = table(spark, data_dir, "labels", "doc_id", "toxic")
-    return hash_split(labelled_from_tables(documents(spark, data_dir), labels))
+    docs = hash_split(table(spark, data_dir, "documents", "doc_id", "text"))
+    rows = labelled_from_tables(docs, labels)
+    return rows.select("doc_id", "text", "label", "split")
+
+
+def labelled_ids(
+    spark: SparkSession, data_dir: str, vocab: Vocab, max_length: int = MAX_LENGTH
+) -> DataFrame:
+    """``doc_id, label, split, input_ids, truncated``: encoded below the join with the labels.
+
+    At most ``max_length`` numbers a document are moved, never its text.
+    """
+    labels = table(spark, data_dir, "labels", "doc_id", "toxic")
+    encoded = encode(hash_split(documents(spark, data_dir)), vocab, max_length)
+    narrow = encoded.select("doc_id", "split", "input_ids", "truncated")
+    return coerce_label(labelled_from_tables(narrow, labels))
 
 
 def vectors(spark: SparkSession, data_dir: str) -> DataFrame:

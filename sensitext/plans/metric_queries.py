@@ -63,7 +63,9 @@ def eval_loss(spark, data_dir):
 
 
 def _batched(spark, data_dir, batch_size, epochs):
-    rows = scored(spark, data_dir).select("vec_id", "label", "t_logits", "s_logits")
+    """Batches of the training rows, as a loader of the training split gives them."""
+    train = scored(spark, data_dir).where(F.col("split") == "train")
+    rows = train.select("vec_id", "label", "t_logits", "s_logits")
     return assign_batches(rows, batch_size, "vec_id", epochs=epochs).withColumn(
         "logits", moved_logits()
     )
@@ -161,7 +163,8 @@ def hidden_loss_query(spark, data_dir):
 
 
 def total_loss_query(spark, data_dir):
-    rows = scored(spark, data_dir).select(
+    train = scored(spark, data_dir).where(F.col("split") == "train")
+    rows = train.select(
         "vec_id",
         ce_loss("s_logits", "label").alias("ce"),
         kd_loss("s_logits", "t_logits").alias("kd"),
@@ -179,7 +182,8 @@ def total_loss_query(spark, data_dir):
 
 
 def kd_gradient_query(spark, data_dir):
-    return kd_gradient(scored(spark, data_dir), "embedding").withColumn("grad", r6("grad"))
+    train = scored(spark, data_dir).where(F.col("split") == "train")
+    return kd_gradient(train, "embedding").withColumn("grad", r6("grad"))
 
 
 QUERIES = {
@@ -225,7 +229,7 @@ def _round4(x: str) -> str:
 def _sql_batches(batch_size: int, source: str = "trace") -> str:
     return f"""batched AS (SELECT *, (row_number() OVER (PARTITION BY epoch
         ORDER BY md5(vec_id || ':42:' || epoch), vec_id) - 1) // {batch_size} AS batch_id
-      FROM {source})"""
+      FROM {source} WHERE split = 'train')"""
 
 
 def _sql_hidden(teacher_stride: int) -> str:
@@ -290,7 +294,7 @@ ORACLE = {
     "hidden_loss": f"""WITH {SQL_SCORED} SELECT vec_id, {sql_r6(_sql_hidden(16))} AS hidden,
         {sql_r6(_sql_hidden(8))} AS hidden_equal_depth FROM scored""",
     "total_loss": f"""WITH {SQL_SCORED},
-        one AS (SELECT vec_id, 1::INT AS epoch, {_S_CE} AS ce, {_S_KD} AS kd,
+        one AS (SELECT vec_id, split, 1::INT AS epoch, {_S_CE} AS ce, {_S_KD} AS kd,
           {_sql_hidden(16)} AS hidden FROM scored),
         {_sql_batches(DISTILL_BATCH, 'one')},
         means AS (SELECT epoch, batch_id, avg(ce) AS ce, avg(kd) AS kd, avg(hidden) AS hidden
@@ -299,7 +303,8 @@ ORACLE = {
           {sql_r6('hidden')} AS hidden, {sql_r6('ce + kd + 0.5 * hidden')} AS total FROM means""",
     "kd_gradient": f"""WITH {SQL_SCORED},
         g AS (SELECT 0 AS class, v, {_sql_gradient(0)} AS g FROM scored
-          UNION ALL SELECT 1, v, {_sql_gradient(1)} FROM scored),
+            WHERE split = 'train'
+          UNION ALL SELECT 1, v, {_sql_gradient(1)} FROM scored WHERE split = 'train'),
         cells AS (SELECT class, g, (generate_subscripts(v, 1) - 1)::INT AS feature, unnest(v) AS x
           FROM g)
         SELECT class, feature, {sql_r6('avg(g * x)')} AS grad FROM cells GROUP BY class, feature""",

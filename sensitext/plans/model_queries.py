@@ -1,4 +1,8 @@
-"""Queries that train a model on the labelled table; these have no SQL twin."""
+"""Queries that train a model on the labelled table.
+
+Their rows depend on the fit, so they have no SQL twin; ``trained_checks`` states what must
+hold for them.
+"""
 
 from __future__ import annotations
 
@@ -6,20 +10,35 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sensitext.operators.distill import fit_student, soft_labels
 from sensitext.operators.predict import detect, predict, predict_probes
+from sensitext.operators.encoding import build_vocab, vocab_dict
+from sensitext.operators.prep import hash_split
 from sensitext.operators.train import Detector, evaluate, fit_teacher
-from sensitext.plans.inputs import SCHEMAS, documents, labelled, table
+from sensitext.plans.inputs import SCHEMAS, documents, labelled_ids, table
 from sensitext.session import scratch_path
 from sensitext.streaming.score_stream import read_stream, score_stream
 
 # Full-batch steps of a linear student need a larger rate than small-batch training.
-STUDENT_LEARNING_RATE = 0.5
+STUDENT_LEARNING_RATE = 0.1
 STUDENT_STEPS = 30
+# Detectors of this process: their number is that of sessions and folders, and each is as small
+# as its vocabulary.
+_teachers: dict[tuple[str, str], Detector] = {}
 
 
 def teacher(spark: SparkSession, data_dir: str) -> tuple[Detector, DataFrame]:
-    """A detector fitted on the training split, and the whole labelled frame."""
-    rows = labelled(spark, data_dir)
-    return fit_teacher(rows.where(F.col("split") == "train")), rows
+    """A detector fitted on the training split, and the whole labelled frame, encoded.
+
+    Fitted once per session and folder; the vocabulary comes from documents that the split
+    by content gives to training.
+    """
+    key = (spark.sparkContext.applicationId, data_dir)
+    if key not in _teachers:
+        docs = hash_split(documents(spark, data_dir))
+        vocab = vocab_dict(build_vocab(docs.where(F.col("split") == "train")))
+        train = labelled_ids(spark, data_dir, vocab).where(F.col("split") == "train")
+        _teachers[key] = fit_teacher(train, vocab)
+    model = _teachers[key]
+    return model, labelled_ids(spark, data_dir, model.vocab)
 
 
 def teacher_predict(spark, data_dir):
@@ -37,7 +56,7 @@ def evaluate_model(spark, data_dir):
 def student(spark: SparkSession, data_dir: str) -> tuple[Detector, DataFrame, list[tuple]]:
     """A linear student distilled from the teacher's soft labels."""
     model, rows = teacher(spark, data_dir)
-    encoded = model.encode(rows).select("doc_id", "label", "split", "input_ids")
+    encoded = rows.select("doc_id", "label", "split", "input_ids")
     soft = soft_labels(encoded, model.score_encoded)
     fitted, steps = fit_student(
         soft, epochs=STUDENT_STEPS, lr=STUDENT_LEARNING_RATE, run="distil"

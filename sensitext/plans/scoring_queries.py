@@ -128,6 +128,13 @@ def predict_query(spark, data_dir):
     )
 
 
+def predict_labelled(spark, data_dir):
+    """The true label stays beside the prediction."""
+    model = linear_scorer("embedding", TEACHER_HEADS)
+    records = predict(vectors(spark, data_dir), model, keep=("vec_id", "label"))
+    return records.select("vec_id", "label", "prediction")
+
+
 def detect_query(spark, data_dir):
     model = linear_scorer("embedding", TEACHER_HEADS)
     return detect(vectors(spark, data_dir), model, keep=("vec_id",)).withColumn(
@@ -250,6 +257,7 @@ QUERIES = {
     "nan_guard": nan_guard_query,
     "decide": decide_query,
     "predict": predict_query,
+    "predict_labelled": predict_labelled,
     "detect": detect_query,
     "score_distinct": score_distinct_query,
     "round4": round4_query,
@@ -316,6 +324,7 @@ ORACLE = {
         f"""vec_id, {_NAME} AS prediction, {sql_r6(_CONFIDENCE)} AS confidence,
         {sql_r6(_P0)} AS p_not_sensitive, {sql_r6(_P1)} AS p_sensitive"""
     ),
+    "predict_labelled": _sql(f"vec_id, label, {_NAME} AS prediction"),
     "detect": _sql(_detect_columns()),
     "score_distinct": f"""SELECT doc_id, 0.0::DOUBLE AS logit0,
         {sql_r6('length(text) / 1000::DOUBLE - 1')} AS logit1 FROM documents""",

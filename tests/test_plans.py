@@ -22,9 +22,11 @@ def plan_of(df):
 
 TRAINED = {"teacher_predict", "evaluate_model", "student_predict", "probe_report",
            "detect_texts", "stream_texts"}
+WRITING = {"stream_score", "teacher_records", "student_records", "model_roundtrip",
+           "stream_equals_batch", "evaluate_recomputed"}
 
 
-@pytest.mark.parametrize("name", sorted(set(entry_points.queries()) - TRAINED - {"stream_score"}))
+@pytest.mark.parametrize("name", sorted(set(entry_points.queries()) - TRAINED - WRITING))
 def test_no_row_udf_and_no_cross_join(spark, data_dir, name):
     plan = plan_of(entry_points.queries()[name](spark, data_dir))
     for slow in ("BatchEvalPython", "CartesianProduct", "BroadcastNestedLoopJoin"):
@@ -48,6 +50,26 @@ def test_scans_read_only_what_is_asked(spark, data_dir):
     assert "EqualTo(toxic,1)" in plan and "GreaterThan(doc_id,7)" in plan
 
 
+@pytest.mark.parametrize(
+    "name", ["split_sizes", "column_report", "label_distribution", "encode", "pad_max", "length_profile"]
+)
+def test_no_shuffle_carries_texts(spark, data_dir, name):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        frame = entry_points.queries()[name](spark, data_dir)
+        plan = spark._jvm.PythonSQLUtils.explainString(frame._jdf.queryExecution(), "formatted")
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    nodes = [node for node in plan.split("\n\n") if ") Exchange" in node]
+    # Two sides of the join at least.
+    assert len(nodes) >= 2
+    # Dealing out a table of one split comes before the join, and only in front of encoding.
+    spread = [node for node in nodes if "RoundRobinPartitioning" in node]
+    assert not spread or name in ("encode", "pad_max", "length_profile")
+    for node in nodes:
+        assert node in spread or not (" text#" in node or "[text#" in node)
+
+
 def test_copies_of_a_hot_text_are_spread(spark):
     """A text that fills a third of the rows does not fill one task of the join back."""
     texts = F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("t"), F.col("id")))

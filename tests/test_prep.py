@@ -96,3 +96,14 @@ def test_profile(spark):
     report = {(r.split, r.position): (r.name, r.type) for r in column_report(df).collect()}
     assert report[("validation", 1)] == ("label", "int")
     assert prune(df).columns == ["split"]
+
+
+def test_batches_of_groups_are_their_own(spark):
+    df = spark.range(100).selectExpr("id", "CASE WHEN id % 3 = 0 THEN 'a' WHEN id % 3 = 1 THEN 'b' END AS kind")
+    rows = assign_batches(df, 8, epochs=[1, 2], by=["kind"]).collect()
+    assert len(rows) == 200
+    for kind, n in (("a", 34), ("b", 33), (None, 33)):
+        for epoch in (1, 2):
+            own = [r for r in rows if r.kind == kind and r.epoch == epoch]
+            assert sorted(r.row_index for r in own) == list(range(n))
+            assert all(r.batch_id == r.row_index // 8 for r in own)
