@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from sensitext.llm.common import ROW_KEY, by_key, keyed
 from sensitext.llm.decontaminate import find_leaks
-from sensitext.llm.ngram_join import ngram_components
+from sensitext.llm.ngram_join import row_components
 from sensitext.llm.packing import pack
 from sensitext.llm.pii import redacted
 from sensitext.llm.quality_net import THRESHOLD, fit_quality, score_quality
@@ -23,16 +24,22 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: the one with the smallest id."""
-    groups = ngram_components(docs, n=5, percent=80)
-    heads = groups.where("component_id = doc_id").select("doc_id")
-    return docs.join(heads, "doc_id", "left_semi").select(*docs.columns)
+    """One document of each group of near copies: the one with the smallest id.
+
+    Rows are compared and judged one by one, also those without an id or with that of another.
+    """
+    rows = keyed(docs)
+    groups = row_components(by_key(rows), n=5, percent=80)
+    heads = groups.where("component_id = doc_id").select(F.col("doc_id").alias(ROW_KEY))
+    return rows.join(heads, ROW_KEY, "left_semi").select(*docs.columns)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a benchmark item."""
-    leaks = find_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    return docs.join(leaks.select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
+    """Documents without a benchmark item; rows with the id of one that has an item stay."""
+    rows = keyed(docs)
+    leaks = find_leaks(by_key(rows), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    leaking = leaks.select(F.col("doc_id").alias(ROW_KEY)).distinct()
+    return rows.join(leaking, ROW_KEY, "left_anti").select(*docs.columns)
 
 
 def without_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -9,8 +9,11 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from sensitext.session import materialise
+
 DOCUMENTS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 CHUNK_BYTES = 4 << 20
+ROW_KEY = "_row_key"
 
 # ASCII white space, which ends a word.
 _SPACE = np.zeros(256, bool)
@@ -34,17 +37,36 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
-def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, text`` with one row per id.
+def unique_ids(docs: DataFrame) -> bool:
+    """Whether ``doc_id`` names every row: no id is missing or stands in two rows."""
+    counts = docs.groupBy("doc_id").count()
+    return not counts.where("count > 1 OR doc_id IS NULL").limit(1).count()
+
 
-    Rows without an id are left out. An id that stands in several rows keeps the smallest
-    of its texts; tables without repeated ids are passed through and not shuffled.
+def row_keys(docs: DataFrame) -> DataFrame:
+    """``docs`` with a number of its own for every row in ``ROW_KEY``.
+
+    Numbers rise with ``doc_id`` (missing ids last) and then with ``text``. They are written once
+    to the shared folder, so all that reads them sees the same; rows of one id are spread by text
+    and by their place in the input, so a hot id is no hot task.
     """
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).where(
-        F.col("doc_id").isNotNull()
+    place = "_place"
+    ordered = (
+        docs.withColumn(place, F.monotonically_increasing_id())
+        .orderBy(F.asc_nulls_last("doc_id"), "text", place)
+        .drop(place)
     )
-    n = rows.groupBy("doc_id").count().where("count > 1").limit(1).count()
-    return rows.groupBy("doc_id").agg(F.min("text").alias("text")) if n else rows
+    return materialise(ordered.withColumn(ROW_KEY, F.monotonically_increasing_id()), "row-keys")
+
+
+def keyed(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``ROW_KEY``: the ids where they name every row, else :func:`row_keys`."""
+    return docs.withColumn(ROW_KEY, F.col("doc_id")) if unique_ids(docs) else row_keys(docs)
+
+
+def by_key(rows: DataFrame) -> DataFrame:
+    """``doc_id, text`` of keyed rows, with the key in the place of the id."""
+    return rows.select(F.col(ROW_KEY).alias("doc_id"), "text")
 
 
 def text_bytes(docs: DataFrame) -> int:

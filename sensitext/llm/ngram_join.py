@@ -26,7 +26,17 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from sensitext.llm.common import byte_view, gram_hashes, keyed, spans_of, text_bytes, word_hashes
+from sensitext.llm.common import (
+    ROW_KEY,
+    by_key,
+    byte_view,
+    gram_hashes,
+    row_keys,
+    spans_of,
+    text_bytes,
+    unique_ids,
+    word_hashes,
+)
 from sensitext.llm.components import components
 from sensitext.session import materialise
 
@@ -277,9 +287,33 @@ def ngram_components(
     Two documents link if ``100 * common >= percent * all`` of their distinct word
     n-grams; fewer than ``n`` words count as one gram. ``component_id`` is the smallest id
     reached by links, ``n_links`` the documents linked directly. Null and blank texts have
-    no grams and no links. Repeated ids and missing ids: see :func:`keyed`.
+    no grams and no links. Every row is a document of its own, also where its id is missing or
+    stands in other rows; a component in which no row has an id has no ``component_id``.
     """
-    docs = keyed(docs)
+    options = n, percent, bucket_bytes, block_sets, block_grams
+    if unique_ids(docs):
+        return row_components(docs, *options)
+    rows = row_keys(docs.select("doc_id", "text"))
+    found = row_components(by_key(rows), *options).withColumnRenamed("doc_id", ROW_KEY)
+    # The smallest key of a component belongs to its smallest id.
+    heads = rows.select(F.col(ROW_KEY).alias("component_id"), F.col("doc_id").alias("head"))
+    return (
+        found.join(rows.select(ROW_KEY, "doc_id"), ROW_KEY)
+        .join(heads, "component_id")
+        .select("doc_id", "n_shingles", F.col("head").alias("component_id"), "n_links")
+    )
+
+
+def row_components(
+    docs: DataFrame,
+    n: int = 5,
+    percent: int = 80,
+    bucket_bytes: int = BUCKET_BYTES,
+    block_sets: int = BLOCK_SETS,
+    block_grams: int = BLOCK_GRAMS,
+) -> DataFrame:
+    """:func:`ngram_components` of rows that ``doc_id`` is known to name."""
+    docs = docs.select("doc_id", "text")
     buckets = max(8, -(-text_bytes(docs) // bucket_bytes))
     counts = materialise(
         docs.mapInArrow(_deal(n, buckets), "bucket int, part binary")

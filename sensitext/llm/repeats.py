@@ -27,7 +27,16 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from sensitext.llm.anchors import ANCHOR, anchor_runs, run_hashes, word_view
-from sensitext.llm.common import byte_view, keyed, mix, spans_of, text_bytes
+from sensitext.llm.common import (
+    ROW_KEY,
+    by_key,
+    byte_view,
+    mix,
+    row_keys,
+    spans_of,
+    text_bytes,
+    unique_ids,
+)
 from sensitext.llm.suffix_array import suffix_array
 from sensitext.session import materialise
 
@@ -420,10 +429,22 @@ def remove_repeats(
     """What is left of each document without strings that an earlier document has.
 
     A byte goes if a string of ``window`` bytes over it also starts in a document with a
-    smaller id, judged on the input. Null texts are empty. Repeated ids and missing ids:
-    see :func:`keyed`.
+    smaller id, judged on the input. Null texts are empty. Every row is a document of its own;
+    rows that share an id follow each other by text, and those without an id come last.
     """
-    docs = keyed(docs)
+    options = window, bucket_bytes, string_bytes, group_records
+    if unique_ids(docs):
+        return _rows_left(docs.select("doc_id", "text"), *options)
+    rows = row_keys(docs.select("doc_id", "text"))
+    left = _rows_left(by_key(rows), *options).withColumnRenamed("doc_id", ROW_KEY)
+    names = [x.split()[0] for x in RESULT.split(", ")]
+    return left.join(rows.select(ROW_KEY, "doc_id"), ROW_KEY).select(*names)
+
+
+def _rows_left(
+    docs: DataFrame, window: int, bucket_bytes: int, string_bytes: int, group_records: int
+) -> DataFrame:
+    """:func:`remove_repeats` of rows that ``doc_id`` names."""
     buckets = max(8, -(-text_bytes(docs) // bucket_bytes))
     found = materialise(
         docs.mapInArrow(_deal(window, buckets), "bucket int, part binary")

@@ -408,6 +408,46 @@ def test_pipeline_stages_keep_clean_documents(spark, data_dir):
     assert {r.doc_id for r in pieces.collect()} == {r.doc_id for r in rows}
 
 
+def rows_without_own_ids(odd):
+    """The odd rows and again each: without an id, under one id, and as exact repeats."""
+    one = odd.withColumn("doc_id", F.lit(3).cast("bigint"))
+    none = odd.withColumn("doc_id", F.lit(None).cast("bigint"))
+    return odd.unionByName(none).unionByName(one).unionByName(odd.where("size < 9"))
+
+
+def in_order(docs):
+    rows = [(r.doc_id is None, r.doc_id or 0, r.text is not None, r.text or "") for r in docs.collect()]
+    return [(None if r[0] else r[1], r[3]) for r in sorted(rows, key=lambda r: (*r[:3], r[3].encode()))]
+
+
+def test_rows_without_own_ids_are_all_judged(odd):
+    docs = rows_without_own_ids(odd)
+    rows = in_order(docs)
+    texts = {k: t for k, (_, t) in enumerate(rows)}
+    brute = brute_components(texts, 4, 85)
+    expected = Counter((rows[k][0], n, rows[c][0], links) for k, (n, c, links) in brute.items())
+    assert Counter(map(tuple, ngram_components(docs, 4, 85).collect())) == expected
+    left = brute_repeats(texts, 50)
+    expected = Counter((rows[k][0], *left[k]) for k in left)
+    assert Counter(map(tuple, remove_repeats(docs).collect())) == expected
+
+
+def test_pipeline_stages_judge_every_row(spark, odd, tmp_path):
+    docs = rows_without_own_ids(odd)
+    rows = in_order(docs)
+    brute = brute_components({k: t for k, (_, t) in enumerate(rows)}, 5, 80)
+    kept = corpus_pipeline.near_duplicates(spark, docs, "")
+    assert kept.columns == docs.columns
+    assert in_order(kept) == [rows[k] for k, (_, c, _) in brute.items() if k == c]
+    item = " ".join(f"item{k}" for k in range(30)) + "? the answer stands here."
+    spark.createDataFrame([(1, item)], "item_id bigint, text string").write.parquet(
+        str(tmp_path / "benchmark.parquet")
+    )
+    leaking = [(i, f"before {item} after", None, 0, 0) for i in (3, None, 777)]
+    table = docs.unionByName(spark.createDataFrame(leaking, COLUMNS))
+    assert in_order(corpus_pipeline.decontaminated(spark, table, str(tmp_path))) == rows
+
+
 def test_empty_tables(empty):
     assert ngram_components(empty).count() == 0
     assert remove_repeats(empty).count() == 0
