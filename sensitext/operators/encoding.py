@@ -58,9 +58,11 @@ def build_vocab(
     """A vocabulary from a corpus: ``token, id``, at most ``size`` ids.
 
     Special tokens keep their reserved ids; then come all characters and their ``##``
-    forms, then words, each by falling count and rising token. Characters fill at most
-    ``char_share`` of the ids, so words keep a place in a corpus of very many characters;
-    words longer than ``MAX_WORD_CHARS`` do not count, as they are never split into pieces.
+    forms, then words, each by falling count and rising token. Where the forms of characters
+    do not fit, those ``##`` forms give way first whose character never stands inside a word, and
+    words keep up to ``1 - char_share`` of the ids, as many as there are words for; characters
+    take all the others.
+    Words longer than ``MAX_WORD_CHARS`` do not count, as they are never split into pieces.
     Characters are counted
     over distinct words, so the corpus itself is exploded once, into words. For the final
     choice each task sends on its first entries alone, never more than ``size``.
@@ -76,26 +78,48 @@ def build_vocab(
             F.concat(
                 F.transform(
                     characters("word"),
-                    lambda c: F.struct(c.alias("token"), F.lit(1).alias("is_char")),
+                    lambda c, i: F.struct(
+                        c.alias("token"), F.lit(1).alias("is_char"), (i > 0).alias("inside")
+                    ),
                 ),
                 F.when(
                     F.length("word") > 1,
-                    F.array(F.struct(F.col("word").alias("token"), F.lit(0).alias("is_char"))),
-                ).otherwise(F.array().cast("array<struct<token:string,is_char:int>>")),
+                    F.array(
+                        F.struct(
+                            F.col("word").alias("token"),
+                            F.lit(0).alias("is_char"),
+                            F.lit(False).alias("inside"),
+                        )
+                    ),
+                ).otherwise(F.array().cast("array<struct<token:string,is_char:int,inside:boolean>>")),
             )
         ).alias("p"),
         "n",
     )
-    counted = parts.groupBy("p.token", "p.is_char").agg(F.sum("n").alias("n"))
-    both_forms = F.when(
-        F.col("is_char") == 1, F.array(F.col("token"), F.concat(F.lit("##"), F.col("token")))
-    ).otherwise(F.array("token"))
+    counted = parts.groupBy("p.token", "p.is_char").agg(
+        F.sum("n").alias("n"), F.max("p.inside").alias("inside")
+    )
+    own = F.struct("token", F.lit(True).alias("met"))
+    inner = F.struct(F.concat(F.lit("##"), "token").alias("token"), F.col("inside").alias("met"))
+    both_forms = F.when(F.col("is_char") == 1, F.array(own, inner)).otherwise(F.array(own))
     order = [F.desc("is_char"), F.desc("n"), F.asc("token")]
-    forms = counted.select(F.explode(both_forms).alias("token"), "is_char", "n")
-    most_chars = max(1, int(room * char_share))
-    chars = forms.where("is_char = 1").orderBy(*order).limit(most_chars)
+    forms = counted.select(F.explode(both_forms).alias("f"), "is_char", "n").select("f.*", "is_char", "n")
+    met_first = [F.desc("met"), *order]
+    chars = forms.where("is_char = 1").orderBy(*met_first).limit(room)
     whole = forms.where("is_char = 0").orderBy(*order).limit(room)
-    top = chars.unionByName(whole).orderBy(*order).limit(room)
+    # One task chooses among at most twice ``room`` rows.
+    kind = Window.partitionBy("is_char").orderBy(*met_first)
+    words_kept = F.least(
+        F.sum(1 - F.col("is_char")).over(Window.partitionBy()),
+        F.lit(room - max(1, int(room * char_share))),
+    )
+    top = (
+        chars.unionByName(whole)
+        .select("*", F.row_number().over(kind).alias("_rank"), words_kept.alias("_words"))
+        .where(F.col("_rank") <= F.when(F.col("is_char") == 1, room - F.col("_words")).otherwise(room))
+        .orderBy(*order)
+        .limit(room)
+    )
     # One task numbers the rows: there are at most ``room`` of them.
     ranked = top.select(
         "token",

@@ -7,7 +7,7 @@ from tokenizers.normalizers import BertNormalizer
 from tokenizers.pre_tokenizers import BertPreTokenizer
 
 from probes import PROBES
-from sensitext.constants import SPECIAL_TOKENS, UNK_ID
+from sensitext.constants import FIRST_FREE_ID, SPECIAL_TOKENS, UNK_ID
 from sensitext.functions.text import basic_tokens, leading_tokens
 from sensitext.operators.encoding import (
     add_model_inputs,
@@ -198,3 +198,19 @@ def test_words_keep_a_place_among_very_many_characters(spark):
     text = " ".join(chr(0x4E00 + k) for k in range(11_000)) + " hello" * 1000
     tokens = {r.token for r in build_vocab(spark.createDataFrame([(text,)], "text string")).collect()}
     assert "hello" in tokens
+
+
+def test_characters_take_the_ids_that_words_leave_free(spark):
+    size = 21_128
+    chars = [chr(0x4E00 + k) for k in range(11_000)]
+    corpus = spark.createDataFrame([(" ".join(chars) + " hello" * 1000,)], "text string")
+    tokens = {r.token for r in build_vocab(corpus, size).collect()}
+    assert tokens >= {*chars, *"helo", "hello", "##e", "##l", "##o"}
+    assert len(tokens) == size - FIRST_FREE_ID + len(SPECIAL_TOKENS)
+    # Words keep their share where both are too many, each kind in its own order.
+    words = [f"w{k:05}" for k in range(400)]
+    both = spark.createDataFrame([(" ".join(chars[:300] + words),)], "text string")
+    tokens = {r.token for r in build_vocab(both, FIRST_FREE_ID + 200).collect()}
+    assert sum(t in words for t in tokens) == 100 and len(tokens) == 200 + len(SPECIAL_TOKENS)
+    ids = [r.id for r in build_vocab(both, FIRST_FREE_ID + 200).collect()]
+    assert len(set(ids)) == len(ids) and max(ids) == FIRST_FREE_ID + 199
