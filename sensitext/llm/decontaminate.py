@@ -66,6 +66,7 @@ class Index:
     impacts: list[list[float]]
     blocks: list[dict[int, float]]
     item: list[int]
+    ids: list[int]
     runs: dict[int, tuple[int, int, np.ndarray, int, np.ndarray]]
     rest: np.ndarray
     rare_cut: np.ndarray
@@ -84,8 +85,9 @@ class Index:
 
 
 def build_index(items: list[tuple[int, str]]) -> Index | None:
+    """Index of ``(id, text)`` items; an item is its place in the list, ids may repeat."""
     units, owner, runs = [], [], {}
-    for item, text in items:
+    for item, (_, text) in enumerate(items):
         words = words_of(text)
         if not len(words):
             continue
@@ -134,8 +136,8 @@ def build_index(items: list[tuple[int, str]]) -> Index | None:
     cut = np.searchsorted(term[by_term], np.arange(len(terms) + 2))
     owners = [owner[u] for u in order]
     return Index(
-        terms, best, known, lists, impacts, blocks, owners, runs, rest, cut, unit[by_term],
-        share[by_term],
+        terms, best, known, lists, impacts, blocks, owners, [i for i, _ in items], runs, rest, cut,
+        unit[by_term], share[by_term],
     )
 
 
@@ -241,7 +243,7 @@ def leaks(index: Index, raw: np.ndarray, bounds: np.ndarray, score: float, overl
             old[:3] = max(old[0], value), max(old[1], in_question), max(old[2], in_answer)
             old[3] += 1
     for (r, item), values in found.items():
-        yield (r, item, *values)
+        yield (r, index.ids[item], *values)
 
 
 def find_leaks(
@@ -255,19 +257,19 @@ def find_leaks(
 
     ``score`` is the share of a unit's BM25 score that a passage has to reach, ``overlap`` the
     share of its runs of ``RUN`` words that must be there, in question and answer each. Null and
-    empty texts and items match nothing; items with equal ids count as one; documents that
-    share an id are searched one by one, rows without an id too.
+    empty texts and items match nothing, nor do items without an id. Every distinct pair of
+    ``item_id`` and text is an item of its own; documents that share an id are searched one by
+    one, rows without an id too.
     """
-    items = benchmark.where("item_id IS NOT NULL").groupBy("item_id").agg(
-        F.concat_ws("\n", F.sort_array(F.collect_set("text"))).alias("text")
-    )
+    items = benchmark.where("item_id IS NOT NULL AND text IS NOT NULL")
+    items = items.select("item_id", "text").distinct()
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, -(-size // block_bytes))
     spark = docs.sparkSession
     out = None
     for k in range(blocks):
-        part = items.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == k)
-        index = build_index([(r.item_id, r.text) for r in part.orderBy("item_id").collect()])
+        part = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k)
+        index = build_index([(r.item_id, r.text) for r in part.orderBy("item_id", "text").collect()])
         if index is None:
             continue
         shared = spark.sparkContext.broadcast(index)

@@ -215,6 +215,17 @@ def test_leaks_are_the_planted_items(spark, odd):
     assert find_leaks(odd, benchmark.where("item_id > 899")).count() == 0
 
 
+def test_items_that_share_an_id_leak_one_by_one(spark):
+    texts = [" ".join(f"{x}{k}" for k in range(20)) + "." for x in "abcd"]
+    benchmark = spark.createDataFrame(
+        [(1, texts[0]), (1, texts[1]), (2, texts[2]), (2, None)], "item_id bigint, text string"
+    )
+    docs = spark.createDataFrame([(k, f"x {t} y", None, 0, 0) for k, t in enumerate(texts)], COLUMNS)
+    for block in (1 << 20, 50):
+        got = find_leaks(docs, benchmark, block_bytes=block).collect()
+        assert sorted((r.doc_id, r.item_id) for r in got) == [(0, 1), (1, 1), (2, 2)]
+
+
 # --- tokens, order, packing --------------------------------------------------------------
 
 
