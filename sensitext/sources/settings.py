@@ -45,7 +45,9 @@ def load_tokenizer_settings(spark: SparkSession, path: str) -> TokenizerSettings
 
 def load_vocab(spark: SparkSession, path: str, max_size: int = VOCAB_SIZE) -> DataFrame:
     """A ``vocab.txt`` with one token per line as ``token, id``; the line number is the id."""
-    lines = [row.value for row in spark.read.text(path, wholetext=True).limit(1).collect()]
+    lines = [row.value for row in spark.read.text(path, wholetext=True).limit(2).collect()]
+    if len(lines) > 1:
+        raise ValueError(f"{path} holds more than one file; name the vocabulary file")
     tokens = lines[0].split("\n") if lines else []
     if tokens and tokens[-1] == "":
         tokens.pop()

@@ -116,6 +116,13 @@ def test_vocab_file_uses_line_numbers(spark, tmp_path):
         load_vocab(spark, str(path), max_size=2)
 
 
+def test_vocab_of_several_files_is_an_error(spark, tmp_path):
+    for k in range(2):
+        (tmp_path / f"part-{k}.txt").write_text(f"a{k}\n", encoding="utf-8")
+    with pytest.raises(ValueError, match="more than one file"):
+        load_vocab(spark, str(tmp_path))
+
+
 def test_label_map(spark, tmp_path):
     assert load_label_map(spark) == ID2LABEL
     path = tmp_path / "config.json"
