@@ -9,7 +9,7 @@ import pytest
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 import __spark_entry__ as entry_points  # noqa: E402
 
-TABLES = ("documents", "labels", "embeddings", "conversations")
+TABLES = ("documents", "labels", "embeddings", "conversations", "pages", "benchmark")
 
 
 @pytest.fixture(scope="module")
