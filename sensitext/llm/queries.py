@@ -8,14 +8,17 @@ from sensitext.llm.common import documents
 from sensitext.llm.decontaminate import find_leaks
 from sensitext.llm.licences import licence_scan
 from sensitext.llm.ngram_join import ngram_components
+from sensitext.llm.main_text import main_text
 from sensitext.llm.packing import pack
 from sensitext.llm.pii import pii_report
 from sensitext.llm.quality_net import THRESHOLD, fit_quality, held_out, score_quality
 from sensitext.llm.quality_rules import quality_rules
 from sensitext.llm.repeats import remove_repeats
 from sensitext.llm.sharding import write_shards
+from sensitext.llm.spelling import spelling_variants
 from sensitext.llm.sql import ORACLE
 from sensitext.llm.training_order import read_order, write_training_order
+from sensitext.llm.vector_codes import vector_codes
 from sensitext.session import scratch_path
 
 
@@ -71,6 +74,18 @@ def op10_sharding(spark, sf_dir):
     return written.select("doc_id", "bytes", "shard", "page")
 
 
+def op11_spelling_variants(spark, sf_dir):
+    return spelling_variants(documents(spark, sf_dir))
+
+
+def op12_vector_codes(spark, sf_dir):
+    return vector_codes(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+def op13_main_text(spark, sf_dir):
+    return main_text(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -84,6 +99,9 @@ QUERIES = {
         op8_licences,
         op9_quality_net,
         op10_sharding,
+        op11_spelling_variants,
+        op12_vector_codes,
+        op13_main_text,
     )
 }
 __all__ = ["ORACLE", "QUERIES"]

@@ -14,6 +14,8 @@ from sensitext.llm.licences import (
 )
 from sensitext.llm.quality_rules import MARKS, RULES, STOP_WORDS
 from sensitext.llm.sharding import BITS, LIMIT_BYTES, ROW_BYTES
+from sensitext.llm.spelling import MIN_CHARS, MIN_COUNT, RATIO, TYPO
+from sensitext.llm.vector_codes import ENTRIES, PARTS, ROUNDS, SCALE
 
 
 def quoted(text: str) -> str:
@@ -117,8 +119,115 @@ SELECT doc_id, md5(replace(f, chr(10), ' ')) AS digest, license,
 FROM form LEFT JOIN hits USING (doc_id)
 LEFT JOIN whole ON md5(replace(f, chr(10), ' ')) = digest"""
 
+
+# Code points of the accented letters, and ASCII characters that stand for them one by one, since
+# DuckDB's edit distance counts bytes.
+_ACCENTED = "".join(map(chr, range(0xC0, 0x100)))
+_STAND_IN = "".join(c for c in map(chr, range(33, 127)) if not c.islower() and c != "'")[:64]
+_CRC_TABLE = (
+    "list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)), "
+    "lambda a, b: CASE WHEN a % 2 = 1 THEN xor(a // 2, 3988292384) ELSE a // 2 END))"
+)
+
+SPELLING_VARIANTS = f"""
+WITH RECURSIVE crc AS MATERIALIZED (SELECT {_CRC_TABLE} AS t),
+runs AS (
+  SELECT coalesce(doc_id::VARCHAR, '') AS d, unnest(regexp_extract_all(
+           translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[a-z\u00C0-\u00FF]{{{MIN_CHARS},}}')) AS w
+  FROM documents),
+counted AS (SELECT d, w, count(*) AS n FROM runs GROUP BY d, w),
+hashed AS (
+  SELECT w, n, xor(4294967295, list_reduce(list_prepend(4294967295, flatten(list_transform(
+           string_split(d || ':' || w, ''), lambda c: CASE WHEN unicode(c) < 128 THEN [unicode(c)::BIGINT]
+             ELSE [192 + unicode(c) // 64, 128 + unicode(c) % 64] END))),
+         lambda a, b: xor(a // 256, t[xor(a % 256, b) + 1]))) AS h
+  FROM counted, crc),
+spelled AS (
+  SELECT CASE WHEN h % {TYPO} = 0
+           THEN substr(w, 1, (h % length(w))::BIGINT) || substr(w, (h % length(w))::BIGINT + 2)
+           ELSE w END AS word, n
+  FROM hashed),
+words AS MATERIALIZED (
+  SELECT word, sum(n)::BIGINT AS n, translate(word, '{_ACCENTED}', '{_STAND_IN}') AS x
+  FROM spelled GROUP BY word HAVING length(word) >= {MIN_CHARS} AND sum(n) >= {MIN_COUNT}),
+near AS MATERIALIZED (
+  SELECT a.word, count(*) AS n_near, min(struct_pack(less := -b.n, form := b.word)) AS top
+  FROM words a JOIN words b ON abs(length(a.x) - length(b.x)) <= 1 AND a.x <> b.x
+    AND levenshtein(a.x, b.x) = 1
+  GROUP BY a.word),
+formed AS MATERIALIZED (
+  SELECT w.word, w.n, coalesce(n_near, 0)::BIGINT AS n_near,
+         CASE WHEN -top.less >= {RATIO} * w.n THEN top.form END AS form,
+         CASE WHEN -top.less >= {RATIO} * w.n THEN -top.less END::BIGINT AS form_n
+  FROM words w LEFT JOIN near USING (word)),
+chain AS (
+  SELECT word, word AS at FROM formed
+  UNION ALL SELECT c.word, f.form FROM chain c JOIN formed f ON c.at = f.word WHERE f.form IS NOT NULL),
+ends AS (SELECT c.word, c.at AS root FROM chain c JOIN formed f ON c.at = f.word WHERE f.form IS NULL)
+SELECT word, form, root, n, n_near, form_n FROM formed JOIN ends USING (word)"""
+
+
+def _vector_codes() -> str:
+    """Lloyd's rounds with all distances, one chain of tables a round."""
+    sql = f"""
+WITH kept AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: floor({SCALE} * x::DOUBLE)::BIGINT) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+part AS MATERIALIZED (
+  SELECT vec_id, p, v[p * len(v) // {PARTS} + 1 : (p + 1) * len(v) // {PARTS}] AS x
+  FROM kept, range({PARTS}) r(p)),
+first AS (
+  SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS e FROM kept ORDER BY vec_id LIMIT {ENTRIES}),
+book0 AS MATERIALIZED (SELECT p, e, x AS c FROM part JOIN first USING (vec_id))"""
+    for k in range(ROUNDS + 1):
+        sql += f""",
+near{k} AS MATERIALIZED (
+  SELECT vec_id, p, any_value(x) AS x, min(struct_pack(
+           d := list_sum(list_transform(list_zip(x, c), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT,
+           e := e)) AS best
+  FROM part JOIN book{k} USING (p) GROUP BY vec_id, p)"""
+        if k < ROUNDS:
+            sql += f""",
+mean{k} AS (
+  SELECT p, e, list(floor(s / n)::BIGINT ORDER BY i) AS c FROM (
+    SELECT p, best.e AS e, i, sum(x[i]) AS s, count(*)::DOUBLE AS n
+    FROM near{k}, unnest(range(1, len(x) + 1)) u(i) GROUP BY p, best.e, i) GROUP BY p, e),
+book{k + 1} AS MATERIALIZED (
+  SELECT p, e, coalesce(m.c, b.c) AS c FROM book{k} b LEFT JOIN mean{k} m USING (p, e))"""
+    return f"""{sql},
+coded AS (
+  SELECT vec_id, string_agg(printf('%02x', best.e), '' ORDER BY p) AS code,
+         sum(best.d)::BIGINT AS error
+  FROM near{ROUNDS} GROUP BY vec_id)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error,
+       (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY p, e)) FROM book{ROUNDS})
+         AS codebooks_sha256
+FROM coded JOIN kept USING (vec_id)"""
+
+
+# For pages whose main text is one article element of headings and paragraphs, with the character
+# references that stand in the given tables: SQL has neither a reader of HTML nor a table of references.
+MAIN_TEXT = r"""
+WITH article AS (
+  SELECT page_id, url, regexp_extract(coalesce(html, ''), '<article>(.*?)</article>', 1, 's') AS body
+  FROM pages),
+blocks AS (
+  SELECT page_id, url, list_transform(regexp_split_to_array(body, '</?(?:h1|p)>'), lambda x:
+    trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(x, '<[^>]*>', '', 'g'),
+      '&quot;?', '"', 'g'), '&amp;?', '&', 'g'), '\s+', ' ', 'g'))) AS parts
+  FROM article),
+joined AS (
+  SELECT page_id, url, array_to_string(list_filter(parts, lambda x: x <> ''), chr(10)) AS text FROM blocks)
+SELECT page_id, url, text, length(text)::BIGINT AS n_chars FROM joined"""
+
 ORACLE = {
     "op1_quality_rules": QUALITY_RULES,
     "op8_licences": LICENCE_SCAN,
     "op10_sharding": SHARDING,
+    "op11_spelling_variants": SPELLING_VARIANTS,
+    "op12_vector_codes": _vector_codes(),
+    "op13_main_text": MAIN_TEXT,
 }
