@@ -10,7 +10,7 @@ from __future__ import annotations
 import zlib
 from bisect import bisect_left, insort
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -20,12 +20,13 @@ from sensitext.llm.tokens import tokenizer_path, word_tokenizer
 from sensitext.session import materialise
 
 LIMIT, END = 4096, 1
-NODES = 12_000
-FILLINGS, STEPS = 6, 400
+# Steps of the search at most; each takes some microseconds of the driver.
+STEPS = 300_000
 CELL_ROWS = 100_000
 
 # A packing: (lengths with their number in one sequence, longest first; sequences like that).
-Packing = list[tuple[tuple[tuple[int, int], ...], int]]
+Fill = tuple[tuple[int, int], ...]
+Packing = list[tuple[Fill, int]]
 
 
 def best_fit(counts: dict[int, int], limit: int) -> Packing:
@@ -63,47 +64,6 @@ def best_fit(counts: dict[int, int], limit: int) -> Packing:
     return [(fill, n) for fills in bins.values() for fill, n in fills.items()]
 
 
-def fillings(
-    room: int, counts: dict[int, int], lengths: list[int], most_waste: int
-) -> list[tuple[int, ...]]:
-    """Undominated fillings of ``room``, least waste first, at most ``FILLINGS``.
-
-    A filling is left out if one longer piece could stand for some of its pieces.
-    ``lengths`` are in order; some may have no piece left.
-    """
-    at = bisect_left(lengths, room + 1)
-    while at and not counts[lengths[at - 1]]:
-        at -= 1
-    single = lengths[at - 1] if at else 0
-    found: list[tuple[int, tuple[int, ...]]] = [(room - single, (single,) if single else ())]
-    if single == room:
-        return [found[0][1]]
-    steps = STEPS
-
-    def extend(left: int, top: int, chosen: tuple[int, ...]) -> None:
-        nonlocal steps
-        k = bisect_left(lengths, min(left, top) + 1) - 1
-        while k >= 0 and steps > 0 and (len(found) < FILLINGS or found[0][0]):
-            steps -= 1
-            length = lengths[k]
-            k -= 1
-            if chosen.count(length) >= counts[length]:
-                continue
-            rest = left - length
-            now = (*chosen, length)
-            # Only sums above the longest fitting piece are not dominated by it.
-            if len(now) > 1 and room - rest > single and rest <= most_waste:
-                insort(found, (rest, now))
-            if rest and counts.get(rest, 0) > now.count(rest):
-                insort(found, (0, (*now, rest)))
-            elif rest and len(now) < 4:
-                extend(rest, length, now)
-
-    extend(room, room, ())
-    unique = list(dict.fromkeys(tuple(sorted(f, reverse=True)) for _, f in found))
-    return [f for f in unique if room - sum(f) <= most_waste][:FILLINGS]
-
-
 def lower_bound(counts: dict[int, int], limit: int) -> int:
     """Sequences that no packing can do without: by sum, and by pieces over one half."""
     total = sum(k * n for k, n in counts.items())
@@ -117,60 +77,154 @@ def lower_bound(counts: dict[int, int], limit: int) -> int:
     return best
 
 
-def bin_completion(counts: dict[int, int], limit: int, nodes: int = NODES) -> Packing:
-    """Branch and bound over fillings around the longest piece left.
+class _Search:
+    """Depth-first search over fillings, on one array of counts that every step back restores.
+
+    What is held grows with the depth of the search alone: the fillings chosen so far and, for each,
+    the place of its enumeration.
+    """
+
+    def __init__(self, counts: dict[int, int], limit: int, steps: int):
+        self.limit, self.steps = limit, steps
+        self.left = [0] * (limit + 1)
+        # Bit k says whether a piece of length k is left.
+        self.there = 0
+        for length, n in counts.items():
+            self.add(length, n)
+
+    def add(self, length: int, n: int) -> None:
+        self.left[length] += n
+        if not self.left[length]:
+            self.there &= ~(1 << length)
+        elif self.left[length] == n:
+            self.there |= 1 << length
+
+    def longest(self, at_most: int) -> int:
+        """The longest length up to ``at_most`` with a piece left, or 0."""
+        return max(0, (self.there & ((2 << at_most) - 1)).bit_length() - 1)
+
+    def any_between(self, low: int, high: int) -> bool:
+        """Whether a piece of ``low`` to ``high`` tokens is left."""
+        return low <= high and bool((self.there >> low) & ((2 << (high - low)) - 1))
+
+    def dominated(self, chosen: list[int], spare: int) -> bool:
+        """Whether a piece that is left could stand for one, two or all pieces of a filling.
+
+        The piece then leaves those it stands for to another sequence, which has room for them.
+        """
+        distinct = sorted(set(chosen))
+        if any(self.any_between(x + 1, x + spare) for x in distinct):
+            return True
+        twice = {x for x in distinct if chosen.count(x) > 1}
+        sums = {x + y for i, x in enumerate(distinct) for y in distinct[i + (x not in twice) :]}
+        if len(chosen) > 2:
+            sums.add(sum(chosen))
+        return any(self.any_between(x, x + spare) for x in sums)
+
+    def fillings(self, room: int) -> Iterator[tuple[list[int], int]]:
+        """Fillings of ``room`` that nothing dominates, with their spare room.
+
+        They come longest pieces first. While one is looked at, its pieces are out of the counts;
+        they are back when the next is asked for.
+        """
+        chosen: list[int] = []
+        nexts = [room]
+        if not self.longest(room):
+            yield [], room
+            return
+        while nexts:
+            length = self.longest(min(nexts[-1], room)) if self.steps > 0 else 0
+            if not length:
+                nexts.pop()
+                if chosen:
+                    room += chosen[-1]
+                    self.add(chosen.pop(), 1)
+                continue
+            self.steps -= 1
+            nexts[-1] = length - 1
+            chosen.append(length)
+            self.add(length, -1)
+            room -= length
+            # Only fillings that no piece fits beside are not dominated by a larger one.
+            if self.longest(room):
+                nexts.append(length)
+                continue
+            if not self.dominated(chosen, room):
+                yield chosen, room
+            nexts.append(0)
+
+    def branches(self, most_waste: Callable[[], int]) -> Iterator[tuple[Fill, int, int]]:
+        """Fillings around the longest piece left, each for all sequences it can make, and for one."""
+        top = self.longest(self.limit)
+        self.add(top, -1)
+        for chosen, spare in self.fillings(self.limit - top):
+            if spare > most_waste():
+                continue
+            need = Counter([top, *chosen])
+            # The pieces of one such sequence are out of the counts at this point.
+            most = 1 + min(self.left[length] // n for length, n in need.items())
+            if spare:
+                most = min(most, most_waste() // spare)
+            fill = tuple(sorted(need.items(), reverse=True))
+            kept = chosen.copy()
+            for length in (top, *kept):
+                self.add(length, 1)
+            for times in sorted({most, 1} - {0}, reverse=True):
+                yield fill, times, spare
+            for length in (top, *kept):
+                self.add(length, -1)
+        self.add(top, 1)
+
+
+def bin_completion(counts: dict[int, int], limit: int, steps: int = STEPS) -> Packing:
+    """Branch and bound over undominated fillings around the longest piece left.
 
     The best-fit packing is the first incumbent. A branch that wastes more than a packing with
     one sequence fewer may waste is cut; a filling is used for as many sequences as the
-    counts allow, and on the way back for one. Without gain after ``nodes`` branches, or
-    at the lower bound, the incumbent stands.
+    counts allow, and on the way back for one. At the lower bound, or after ``steps`` steps (a piece
+    put into a filling, or a filling taken), the incumbent stands; :func:`lower_bound` tells how far it can be from the
+    best packing.
     """
     counts = {k: n for k, n in counts.items() if n}
     incumbent = best_fit(counts, limit)
     total = sum(k * n for k, n in counts.items())
     least = lower_bound(counts, limit)
     best = sum(n for _, n in incumbent)
-    tried = 0
-    # Depth first with a stack of states: counts and lengths left, bins, waste, bins so far.
-    stack = [(counts, sorted(counts), 0, 0, None)]
-    while stack and best > least and tried < nodes:
-        left, lengths, used, waste, trail = stack.pop()
-        if not lengths:
-            if used < best:
-                best, incumbent = used, _unwind(trail)
+    search = _Search(counts, limit, steps)
+    trail: list[tuple[Fill, int, int]] = []
+    used = waste = 0
+
+    def most_waste() -> int:
+        return (best - 1) * limit - total - waste
+
+    def take(branch: tuple[Fill, int, int], sign: int) -> None:
+        nonlocal used, waste
+        fill, times, spare = branch
+        for length, n in fill:
+            search.add(length, -sign * n * times)
+        used += sign * times
+        waste += sign * spare * times
+
+    frames = [search.branches(most_waste)] if counts and best > least else []
+    while frames and best > least and search.steps > 0:
+        search.steps -= 1
+        branch = next(frames[-1], None)
+        if branch is None:
+            frames.pop()
+            if trail:
+                take(trail.pop(), -1)
             continue
-        allowed = (best - 1) * limit - total
-        if waste > allowed:
+        take(branch, 1)
+        trail.append(branch)
+        if search.longest(limit):
+            frames.append(search.branches(most_waste))
             continue
-        tried += 1
-        top = lengths[-1]
-        rest = dict(left)
-        rest[top] -= 1
-        for filling in reversed(fillings(limit - top, rest, lengths, allowed - waste)):
-            need = Counter((top, *filling))
-            spare = limit - top - sum(filling)
-            most = min(left[k] // n for k, n in need.items())
-            if spare:
-                most = min(most, (allowed - waste) // spare)
-            fill = tuple(sorted(need.items(), reverse=True))
-            for times in sorted({most, 1} - {0}):
-                after, still = dict(left), lengths.copy()
-                for k, n in need.items():
-                    after[k] -= n * times
-                    if not after[k]:
-                        del still[bisect_left(still, k)]
-                stack.append((after, still, used + times, waste + spare * times, (trail, fill, times)))
+        if used < best:
+            best, incumbent = used, [(fill, times) for fill, times, _ in trail]
+        take(trail.pop(), -1)
     return incumbent
 
 
-def _unwind(trail) -> Packing:
-    out = []
-    while trail:
-        trail, fill, times = trail
-        out.append((fill, times))
-    return out[::-1]
-
-
 def places(packing: Packing) -> np.ndarray:
     """Rows ``length, first rank, pieces per sequence, first sequence, offset``."""
     taken: Counter = Counter()
@@ -211,7 +265,7 @@ def token_pieces(docs: DataFrame, path: str, limit: int = LIMIT, end: int = END)
 
 
 def pack(
-    docs: DataFrame, path: str | None = None, limit: int = LIMIT, end: int = END, nodes: int = NODES
+    docs: DataFrame, path: str | None = None, limit: int = LIMIT, end: int = END, steps: int = STEPS
 ) -> DataFrame:
     """Pieces of all documents with ``sequence_id`` and ``offset``.
 
@@ -221,7 +275,7 @@ def pack(
     spark = docs.sparkSession
     pieces = materialise(token_pieces(docs, path or tokenizer_path(), limit, end), "pieces")
     counts = {r.length: r["count"] for r in pieces.groupBy("length").count().collect()}
-    table = places(bin_completion(counts, limit, nodes))
+    table = places(bin_completion(counts, limit, steps))
     shared = spark.sparkContext.broadcast((table[:, 0] << 44 | table[:, 1], table))
 
     # Ranks within a length, counted in cells so that one common length is not one group.
