@@ -8,8 +8,10 @@ over the unit's rarer terms plus all that its commoner terms could add stays too
 the others block-max WAND retrieves all units at or above the threshold. A retrieved item counts as leaked if runs of words of its question and of
 its answer stand around the passage.
 
-The index is built block by block over the test items (``BLOCK_BYTES`` of text each), so a
-task holds one block of bounded size however long the benchmark is.
+Document frequencies, the number of units and their mean length are counted once over all
+units. The index is built block by block over the test items (``BLOCK_BYTES`` of text each), and a
+scan of the documents asks ``BLOCKS_PER_SCAN`` blocks about the words it has hashed once; so what a
+task holds is bounded however long the benchmark is, and the blocks have no part in the scores.
 """
 
 from __future__ import annotations
@@ -21,9 +23,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from sensitext.llm.common import byte_view, gram_hashes, spans_of, word_hashes
+from sensitext.session import materialise
 
 UNIT, PASSAGE = 48, 96
 K1, B = 1.2, 0.75
@@ -31,6 +34,7 @@ SCORE, OVERLAP = 0.6, 0.5
 RUN = 5
 LIST_BLOCK = 16
 BLOCK_BYTES = 8 << 20
+BLOCKS_PER_SCAN = 8
 FILTER_BITS = 22
 # Share of a unit's score that its commonest terms, left out of the first bound, may have.
 REST = 0.2
@@ -66,7 +70,7 @@ class Index:
     impacts: list[list[float]]
     blocks: list[dict[int, float]]
     item: list[int]
-    ids: list[int]
+    ids: list[int | None]
     runs: dict[int, tuple[int, int, np.ndarray, int, np.ndarray]]
     rest: np.ndarray
     rare_cut: np.ndarray
@@ -84,17 +88,35 @@ class Index:
         return out
 
 
-def build_index(items: list[tuple[int, str]]) -> Index | None:
+def units_of(words: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Distinct words of each unit of an item, with their numbers."""
+    parts = -(-len(words) // UNIT)
+    return [np.unique(p, return_counts=True) for p in np.array_split(words, parts)] if parts else []
+
+
+@dataclass
+class Statistics:
+    """Units and words of all items, and in how many units each of some terms stands."""
+
+    units: int
+    words: int
+    terms: np.ndarray
+    df: np.ndarray
+
+    def frequencies(self, terms: np.ndarray) -> np.ndarray:
+        return self.df[np.searchsorted(self.terms, terms)]
+
+
+def build_index(items: list[tuple[int | None, str]], counted: Statistics) -> Index | None:
     """Index of ``(id, text)`` items; an item is its place in the list, ids may repeat."""
     units, owner, runs = [], [], {}
     for item, (_, text) in enumerate(items):
         words = words_of(text)
         if not len(words):
             continue
-        parts = -(-len(words) // UNIT)
-        for part in np.array_split(words, parts):
-            units.append(np.unique(part, return_counts=True))
-            owner.append(item)
+        own = units_of(words)
+        units += own
+        owner += [item] * len(own)
         question, answer = map(words_of, question_and_answer(text))
         q, a = min(RUN, len(question)), min(RUN, len(answer))
         runs[item] = (
@@ -102,9 +124,11 @@ def build_index(items: list[tuple[int, str]]) -> Index | None:
         )
     if not units:
         return None
-    terms, df = np.unique(np.concatenate([t for t, _ in units]), return_counts=True)
-    idf = np.log(1 + (len(units) - df + 0.5) / (df + 0.5))
+    terms = np.unique(np.concatenate([t for t, _ in units]))
+    df = counted.frequencies(terms)
+    idf = np.log(1 + (counted.units - df + 0.5) / (df + 0.5))
     sizes = np.array([c.sum() for _, c in units])
+    mean = counted.words / counted.units
     lists: list[list[int]] = [[] for _ in terms]
     impacts: list[list[float]] = [[] for _ in terms]
     blocks: list[dict[int, float]] = [{} for _ in terms]
@@ -115,7 +139,7 @@ def build_index(items: list[tuple[int, str]]) -> Index | None:
     for number, u in enumerate(order):
         at = np.searchsorted(terms, units[u][0])
         tf = units[u][1]
-        norm = K1 * (1 - B + B * sizes[u] / sizes.mean())
+        norm = K1 * (1 - B + B * sizes[u] / mean)
         share = idf[at] * tf * (K1 + 1) / (tf + norm)
         share /= share.sum()
         common = np.argsort(-df[at], kind="stable")
@@ -203,9 +227,8 @@ def block_max_wand(index: Index, terms: list[int], least: float) -> list[tuple[i
     return found
 
 
-def leaks(index: Index, raw: np.ndarray, bounds: np.ndarray, score: float, overlap: float):
-    """``(row, item, score, question, answer, passages, first word)`` of a run of texts."""
-    words, _, at = word_hashes(raw, bounds, plain=True)
+def leaks(index: Index, words: np.ndarray, at: np.ndarray, score: float, overlap: float):
+    """``(row, item, score, question, answer, passages, first word)`` of the texts ``words[at]``."""
     if not len(words):
         return
     term = index.lookup(words)
@@ -257,41 +280,97 @@ def find_leaks(
 
     ``score`` is the share of a unit's BM25 score that a passage has to reach, ``overlap`` the
     share of its runs of ``RUN`` words that must be there, in question and answer each. Null and
-    empty texts and items match nothing, nor do items without an id. Every distinct pair of
-    ``item_id`` and text is an item of its own; documents that share an id are searched one by
-    one, rows without an id too.
+    empty texts and items match nothing. Every distinct pair of ``item_id`` and text is an item of
+    its own, items without an id included; documents that share an id are searched one by
+    one, rows without an id too. Without documents or items there are no rows.
     """
-    items = benchmark.where("item_id IS NOT NULL AND text IS NOT NULL")
-    items = items.select("item_id", "text").distinct()
+    items = benchmark.where("text IS NOT NULL")
+    items = items.select(F.col("item_id").cast("bigint").alias("item_id"), "text").distinct()
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, -(-size // block_bytes))
-    spark = docs.sparkSession
-    out = None
-    for k in range(blocks):
-        part = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k)
-        index = build_index([(r.item_id, r.text) for r in part.orderBy("item_id", "text").collect()])
-        if index is None:
-            continue
-        shared = spark.sparkContext.broadcast(index)
-
-        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                ids = batch.column(0).to_pylist()
-                raw, bounds = byte_view(batch.column(1))
-                rows = []
-                for lo, hi in spans_of(bounds):
-                    part = raw[bounds[lo] : bounds[hi]], bounds[lo : hi + 1] - bounds[lo]
-                    rows += [
-                        (ids[lo + r[0]], r[1], *map(float, r[2:5]), r[5], int(r[6]))
-                        for r in leaks(shared.value, *part, score, overlap)
-                    ]
-                names = [x.split()[0] for x in RESULT.split(", ")]
-                kinds = [pa.int64()] * 2 + [pa.float64()] * 3 + [pa.int32(), pa.int64()]
-                columns = zip(*rows) if rows else [()] * len(names)
+    of_block = F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)).cast("int")
+    items = materialise(items.withColumn("block", of_block), "test-items")
+    counted = _counted(items)
+    out = docs.sparkSession.createDataFrame([], RESULT)
+    for first in range(0, blocks, BLOCKS_PER_SCAN):
+        indexes = [_block_index(items, counted, k) for k in range(first, min(blocks, first + BLOCKS_PER_SCAN))]
+        out = out.union(_search(docs, [i for i in indexes if i is not None], score, overlap))
+    return out
+
+
+def _counted(items: DataFrame) -> DataFrame:
+    """``block, term, df, units, words``: frequencies over all items of the terms of each block."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+                units = units_of(words_of(text.as_py()))
+                terms, df = np.unique(
+                    np.concatenate([t for t, _ in units] or [np.zeros(0, np.uint64)]), return_counts=True
+                )
+                size = sum(int(c.sum()) for _, c in units)
+                # The row without a term counts the units and their words.
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(list(c), t) for c, t in zip(columns, kinds)], names
+                    [
+                        pa.array([block] * (len(terms) + 1), pa.int32()),
+                        pa.array([None, *terms.view(np.int64).tolist()], pa.int64()),
+                        pa.array([len(units), *df.tolist()], pa.int64()),
+                        pa.array([size] + [0] * len(terms), pa.int64()),
+                    ],
+                    names=["block", "term", "n", "words"],
+                )
+
+    parts = items.select("block", "text").mapInArrow(
+        run, "block int, term bigint, n bigint, words bigint"
+    )
+    cells = parts.groupBy("block", "term").agg(F.sum("n").alias("n"), F.sum("words").alias("words"))
+    # A term has a row for each block at most.
+    everywhere = Window.partitionBy("term")
+    totals = [F.sum(c).over(everywhere).alias(c) for c in ("n", "words")]
+    return materialise(cells.select("block", "term", *totals), "test-frequencies")
+
+
+def _block_index(items: DataFrame, counted: DataFrame, block: int) -> Index | None:
+    """Index of one block on the driver: ``BLOCK_BYTES`` of text and the frequencies of its terms."""
+    rows = items.where(F.col("block") == block).orderBy("item_id", "text").collect()
+    if not rows:
+        return None
+    table = counted.where(F.col("block") == block).toArrow()
+    n = table.column("n").to_numpy()
+    none = np.asarray(table.column("term").is_null())
+    units = int(n[none].sum())
+    if not units:
+        return None
+    terms = np.asarray(table.column("term").fill_null(0)).view(np.uint64)[~none]
+    order = np.argsort(terms)
+    words = int(table.column("words").to_numpy()[none].sum())
+    counts = Statistics(units, words, terms[order], n[~none][order])
+    return build_index([(r.item_id, r.text) for r in rows], counts)
+
+
+def _search(docs: DataFrame, indexes: list[Index], score: float, overlap: float) -> DataFrame:
+    """Leaks of the items of some indexes, in one scan of the documents."""
+    shared = docs.sparkSession.sparkContext.broadcast(indexes)
+    names = [x.split()[0] for x in RESULT.split(", ")]
+    kinds = [pa.int64()] * 2 + [pa.float64()] * 3 + [pa.int32(), pa.int64()]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = batch.column(0).to_pylist()
+            raw, bounds = byte_view(batch.column(1))
+            rows = []
+            for lo, hi in spans_of(bounds):
+                words, _, at = word_hashes(
+                    raw[bounds[lo] : bounds[hi]], bounds[lo : hi + 1] - bounds[lo], plain=True
                 )
+                rows += [
+                    (ids[lo + r[0]], r[1], *map(float, r[2:5]), r[5], int(r[6]))
+                    for index in shared.value
+                    for r in leaks(index, words, at, score, overlap)
+                ]
+            columns = zip(*rows) if rows else [()] * len(names)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(list(c), t) for c, t in zip(columns, kinds)], names
+            )
 
-        hits = docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(run, RESULT)
-        out = hits if out is None else out.union(hits)
-    return spark.createDataFrame([], RESULT) if out is None else out
+    return docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(run, RESULT)

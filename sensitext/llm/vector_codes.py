@@ -236,9 +236,8 @@ def vector_codes(vectors: DataFrame) -> DataFrame:
             "vec_id bigint, code string, error bigint, label_error bigint, codebooks_sha256 string",
         )
     coded = materialise(encode_vectors(vectors, books), "vector-codes")
-    by_label = coded.groupBy("label").agg(F.sum("error").alias("label_error"))
-    same = coded["label"].eqNullSafe(by_label["label"])
-    return coded.join(by_label, same).select(
+    by_label = coded.groupBy(F.col("label").alias("_label")).agg(F.sum("error").alias("label_error"))
+    return coded.join(by_label, F.col("label").eqNullSafe(F.col("_label"))).select(
         "vec_id",
         F.lower(F.hex("code")).alias("code"),
         "error",
