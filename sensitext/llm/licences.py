@@ -1,9 +1,13 @@
 """Licence scan by canonical digests, with DataFrame operations only.
 
-A text is brought to one form: lower case, copyright lines dropped, equivalent spellings
+A text is brought to one form: lower case, copyright notices dropped, equivalent spellings
 made equal, punctuation and white space reduced to single blanks. The digest of the whole
-form is joined with the digests of known licence texts, and so is the digest of every
-line with known notices. Known digests are a fixed small table.
+form, which does not depend on where its lines end, is joined with the digests of known licence
+texts, and so is the digest of every line with known notices. Known digests are a fixed small table:
+short texts are given here, with the titles that may stand above them; long ones by their digest.
+
+A copyright notice is a line that begins with the word and goes on with a sign, a year, a
+placeholder or has a year later on; a line of a licence that begins with "copyright holders" is none.
 """
 
 from __future__ import annotations
@@ -24,7 +28,16 @@ SPELLINGS = (
     ("whilst", "while"),
     ("per cent", "percent"),
 )
-COPYRIGHT_LINE = r"(^|\n)[ \t#*/;-]*(copyright|\(c\)|©|all rights reserved)[^\n]*"
+# The words for which a line break may stand between two of them.
+PHRASES = tuple((old, new) for old, new in SPELLINGS if " " in old)
+_MARKS = r"[ \t#*/;-]*"
+_YEAR = r"(19|20)[0-9][0-9]"
+COPYRIGHT_LINE = (
+    rf"(^|\n){_MARKS}("
+    rf"copyright[ \t]*\[yyyy\][\n \t#*/;-]*\[name[\n \t#*/;-]*of[\n \t#*/;-]*copyright[\n \t#*/;-]*owner\]"
+    rf"|copyright[ \t]*(\(c\)|©|<|\[)|copyright[^\n]*[^0-9a-z]{_YEAR}"
+    rf"|(\(c\)|©)[ \t]*(copyright|{_YEAR}|<|\[)|all rights reserved)[^\n]*"
+)
 PUNCTUATION = r"[\x01-\x09\x0b-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+"
 LINE_BREAKS = r" *\n[\n ]*"
 
@@ -77,6 +90,63 @@ documentation would be appreciated but is not required.
 the original software.
 
 3. This notice may not be removed or altered from any source distribution.""",
+    "BSD-2-Clause": """Redistribution and use in source and binary forms, with or without modification,
+are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this list of conditions
+and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions
+and the following disclaimer in the documentation and/or other materials provided with the
+distribution.
+
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR
+IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND
+FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR
+CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL
+DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE,
+DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN
+CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE
+USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.""",
+}
+LICENCES["BSD-3-Clause"] = LICENCES["BSD-2-Clause"].replace(
+    "\n\nTHIS SOFTWARE",
+    """
+
+3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse
+or promote products derived from this software without specific prior written permission.
+
+THIS SOFTWARE""",
+)
+TITLES = {
+    "MIT": ("MIT License", "The MIT License", "The MIT License (MIT)"),
+    "ISC": ("ISC License", "The ISC License"),
+    "0BSD": ("Zero-Clause BSD", "BSD Zero Clause License"),
+    "Zlib": ("zlib License", "The zlib/libpng License"),
+    "BSD-2-Clause": ("BSD 2-Clause License", "The BSD 2-Clause License"),
+    "BSD-3-Clause": ("BSD 3-Clause License", "The BSD 3-Clause License"),
+}
+# Digests of the normal form of long licence texts, as their publishers give them.
+DIGESTS = {
+    "77e1a2c8e9671a8095fa8108104daeae": "Apache-2.0",
+    "d44d7dd7bb33c43e91c9d5e48b1d489e": "Apache-2.0",
+    "b37a688f44419d3168b23775b65749eb": "GPL-1.0",
+    "42c3900f3df27526919a45781fcfaa40": "GPL-1.0",
+    "422f821c6c0b1812cbde7c1c3be04922": "GPL-2.0",
+    "26f606e3d78ac5cd21540a2d8adde537": "GPL-2.0",
+    "dd25740036eafeeb440b379ece56a8ae": "GPL-3.0",
+    "2048533964f4a556d38eb2de2a0efac8": "GPL-3.0",
+    "ebf358251bfe9161668a8c8251261977": "LGPL-2.0",
+    "ca1c6e193db1a4bac45393f980357c55": "LGPL-2.0",
+    "1ff066c677365f47fea81c911a7c822e": "LGPL-2.1",
+    "678176bc76eced93c061414ea9afa263": "LGPL-2.1",
+    "b31b7335bc37919e8cdd79154e04d88d": "LGPL-3.0",
+    "9fa8ae3e869a929215034d82982372b5": "MPL-1.1",
+    "b5b7a0cf4994910cd0204fba4637d6ec": "MPL-2.0",
+    "93a180096f6cfcf2c0dd24f75c2eec48": "CC0-1.0",
+    "46854b8246da92c7dbbd4e61312d796c": "GFDL-1.2",
+    "0910c7ce68a828123e8374e5df51820c": "GFDL-1.3",
+    "2fe792d1191a708e71b9beca097682bd": "Artistic-1.0-Perl",
 }
 NOTICES = {
     "Released under the MIT License.": "MIT",
@@ -106,23 +176,46 @@ def canonical(text: Column) -> Column:
     return F.btrim(F.regexp_replace(x, LINE_BREAKS, "\n"), F.lit(" \n"))
 
 
+def whole_digest(form: Column) -> Column:
+    """Digest of a normal form, wherever its lines end."""
+    flat = F.translate(form, "\n", " ")
+    for old, new in PHRASES:
+        flat = F.replace(flat, F.lit(old), F.lit(new))
+    return F.md5(flat)
+
+
+def titled(licences: dict[str, str]) -> list[tuple[str, str]]:
+    """Texts of licences, bare and under their titles."""
+    return [
+        (name, title + "\n\n" + text)
+        for name, text in licences.items()
+        for title in ("", *TITLES.get(name, ()))
+    ]
+
+
 def known_digests(
-    spark: SparkSession, licences: dict[str, str], notices: dict[str, str]
+    spark: SparkSession, licences: dict[str, str], notices: dict[str, str], digests: dict[str, str]
 ) -> tuple[DataFrame, DataFrame]:
     """``digest, license`` of whole texts and of single lines, by the same normal form."""
-    whole = spark.createDataFrame(list(licences.items()), "license string, text string")
-    lines = spark.createDataFrame([(n, x) for x, n in notices.items()], "license string, text string")
-    flat = F.md5(F.translate(canonical(F.col("text")), "\n", " "))
-    return tuple(
-        table.groupBy(flat.alias("digest")).agg(F.min("license").alias("license"))
-        for table in (whole, lines)
+    kind = "license string, text string"
+    whole = spark.createDataFrame(titled(licences), kind) if licences else spark.createDataFrame([], kind)
+    lines = spark.createDataFrame([(n, x) for x, n in notices.items()], kind)
+    form = canonical(F.col("text"))
+    whole, lines = (
+        table.select(whole_digest(form).alias("digest"), "license") for table in (whole, lines)
     )
+    if digests:
+        whole = whole.unionByName(
+            spark.createDataFrame(list(digests.items()), "digest string, license string")
+        )
+    return tuple(t.groupBy("digest").agg(F.min("license").alias("license")) for t in (whole, lines))
 
 
 def licence_scan(
     docs: DataFrame,
     licences: dict[str, str] = LICENCES,
     notices: dict[str, str] = NOTICES,
+    digests: dict[str, str] = DIGESTS,
 ) -> DataFrame:
     """``doc_id, digest, license, n_notices, notices`` of every row.
 
@@ -130,17 +223,17 @@ def licence_scan(
     licences that lines of the text name. A null or blank text has the digest of the
     empty form and no licence; ids may be null or repeat, each row is judged alone.
     """
-    whole, lines = known_digests(docs.sparkSession, licences, notices)
+    whole, lines = known_digests(docs.sparkSession, licences, notices, digests)
     # One entry per notice of the given table, whatever the documents hold.
     named = {r.digest: r.license for r in lines.collect()}
-    digests = F.array(*map(F.lit, named)) if named else F.array().cast("array<string>")
+    listed = F.array(*map(F.lit, named)) if named else F.array().cast("array<string>")
     names = F.create_map(*(F.lit(x) for pair in named.items() for x in pair))
 
     def judged(form: Column) -> Column:
         each = F.transform(F.split(form, "\n"), F.md5)
-        hits = F.filter(each, lambda d: F.array_contains(digests, d))
+        hits = F.filter(each, lambda d: F.array_contains(listed, d))
         return F.struct(
-            F.md5(F.translate(form, "\n", " ")).alias("digest"),
+            whole_digest(form).alias("digest"),
             hits.alias("hits"),
         )
 

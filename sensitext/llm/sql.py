@@ -4,13 +4,16 @@ from __future__ import annotations
 
 from sensitext.llm.licences import (
     COPYRIGHT_LINE,
+    DIGESTS,
     LICENCES,
     LINE_BREAKS,
     LOWER,
     NOTICES,
+    PHRASES,
     PUNCTUATION,
     SPELLINGS,
     UPPER,
+    titled,
 )
 from sensitext.llm.quality_rules import MARKS, RULES, STOP_WORDS
 from sensitext.llm.sharding import BITS, LIMIT_BYTES, ROW_BYTES
@@ -98,26 +101,35 @@ def _canonical(text: str) -> str:
     return f"trim(regexp_replace({x}, '{LINE_BREAKS}', chr(10), 'g'), ' ' || chr(10))"
 
 
+def _whole_digest(form: str) -> str:
+    x = f"replace({form}, chr(10), ' ')"
+    for old, new in PHRASES:
+        x = f"replace({x}, '{old}', '{new}')"
+    return f"md5({x})"
+
+
 def _table(rows) -> str:
     return ", ".join(f"({quoted(a)}, {quoted(b)})" for a, b in rows)
 
 
 LICENCE_SCAN = f"""
 WITH whole AS (
-  SELECT md5(replace({_canonical("t")}, chr(10), ' ')) AS digest, min(l) AS license
-  FROM (VALUES {_table(LICENCES.items())}) v(l, t) GROUP BY 1),
+  SELECT digest, min(l) AS license FROM (
+    SELECT {_whole_digest(_canonical("t"))} AS digest, l
+    FROM (VALUES {_table(titled(LICENCES))}) v(l, t)
+    UNION ALL SELECT * FROM (VALUES {_table(DIGESTS.items())}) d(digest, l)) GROUP BY digest),
 notice AS (
-  SELECT md5(replace({_canonical("t")}, chr(10), ' ')) AS digest, min(l) AS license
+  SELECT {_whole_digest(_canonical("t"))} AS digest, min(l) AS license
   FROM (VALUES {_table((n, x) for x, n in NOTICES.items())}) v(l, t) GROUP BY 1),
 form AS (SELECT doc_id, {_canonical("coalesce(text, '')")} AS f FROM documents),
 lines AS (SELECT doc_id, unnest(string_split(f, chr(10))) AS line FROM form),
 hits AS (
   SELECT doc_id, count(*) AS n_notices, string_agg(DISTINCT license, ',' ORDER BY license) AS notices
   FROM lines JOIN notice ON md5(line) = digest GROUP BY doc_id)
-SELECT doc_id, md5(replace(f, chr(10), ' ')) AS digest, license,
+SELECT doc_id, {_whole_digest("f")} AS digest, license,
        coalesce(n_notices, 0)::BIGINT AS n_notices, coalesce(notices, '') AS notices
 FROM form LEFT JOIN hits USING (doc_id)
-LEFT JOIN whole ON md5(replace(f, chr(10), ' ')) = digest"""
+LEFT JOIN whole ON {_whole_digest("f")} = digest"""
 
 
 # Code points of the accented letters, and ASCII characters that stand for them one by one, since
