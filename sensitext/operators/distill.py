@@ -1,26 +1,31 @@
 """Distillation of a teacher into a linear student over token ids.
 
 The student's features are the token ids of a text themselves, each worth one over the
-square root of the text's length, with one weight per id and class. A training step is one pass over the stored rows: every
-task adds up its own gradient, a grouped sum merges them by feature, and the driver, which
-holds nothing but the weights, makes the AdamW update and sends the new weights out.
+square root of the text's length, with one weight per id and class. Training is local
+mini-batch descent: in every epoch each worker, a fixed share of the rows, goes through its rows in
+an order of hashes, a small batch at a time, and makes an AdamW step after each; it touches
+the weights of the batch's ids alone. A grouped sum then averages the workers' weights and moments by
+feature, over the workers that touched it, and the driver, which holds nothing but these, sends
+them out for the next epoch. Rows are streamed, so a worker holds one batch at a time.
 """
 
 from __future__ import annotations
 
 import json
 import os
-from collections.abc import Iterator, Mapping, Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from sensitext.constants import (
+    DISTILL_BATCH,
     KD_WEIGHT,
+    SEED,
     STUDENT_EPOCHS,
     STUDENT_LR,
     TEACHER_WEIGHT_DECAY,
@@ -35,6 +40,8 @@ from sensitext.sources.sinks import append_history
 
 # AdamW constants as published.
 BETA1, BETA2, EPSILON = 0.9, 0.999, 1e-8
+# Copies of a row that are dealt out together.
+_COPIES = 1000
 
 
 def soft_labels(
@@ -135,46 +142,278 @@ def fit_student(
     kd_weight: float = KD_WEIGHT,
     history_path: str | None = None,
     run: str = "student",
+    batch_size: int = DISTILL_BATCH,
+    workers: int | None = None,
+    seed: int = SEED,
+    min_rows: int = 1,
+    balanced: bool = False,
+    sparsity: float = 0.0,
 ) -> tuple[LinearStudent, list[tuple]]:
     """Distil over ``input_ids, label, t_logits, split``; returns the best student and history.
 
-    One full-batch AdamW step per epoch, at a rate that falls evenly from ``lr`` to zero. Training rows give loss and gradient, validation
-    rows the accuracy of the same weights, both in one pass; the weights with the highest
-    accuracy are kept and the latest wins a tie. With full batches a linear model needs a
-    larger ``lr`` and more epochs than the defaults, which are those of small batches.
+    ``workers`` shares of the training rows, as many as shuffle partitions unless given, make AdamW
+    steps over batches of ``batch_size`` rows and are averaged after each epoch; the rate falls
+    evenly from ``lr`` to zero over the epochs. The result depends on the rows, ``workers`` and
+    ``seed``, not on how the rows are stored. A row's share and place come from hashes of its
+    content and the number of the copy, so no text, however frequent, fills a share. After each
+    epoch the validation rows are scored; the weights with the highest accuracy are kept and the
+    latest wins a tie. The training loss of an epoch is the mean over its batches. An id outside of
+    ``0 .. n_features - 1`` is an error.
+
+    Ids in fewer than ``min_rows`` training rows learn nothing. With ``balanced`` both classes weigh
+    the same in the cross-entropy. With ``sparsity`` every step moves the weights it touches towards
+    zero by that share of the rate, and no further, which keeps ids at zero that matter little.
     """
     spark = rows.sparkSession
+    workers = workers or int(spark.conf.get("spark.sql.shuffle.partitions"))
     narrow = rows.select(
         "input_ids", F.col("label").cast("int").alias("label"), "t_logits", "split"
     )
-    weights = np.zeros((2, n_features + 1))
-    first, second = np.zeros_like(weights), np.zeros_like(weights)
-    best, best_accuracy, history = weights, 0.0, []
-    with stored_once(narrow, "student-input") as stored:
-        total = _pass(stored, weights, n_features, temperature, kd_weight)
+    state = _State.empty(n_features)
+    best, best_accuracy, history = state.weights, 0.0, []
+    with stored_once(_shares(narrow, workers, seed), "student-input") as stored:
+        train = stored.where("split = 'train'")
+        validation = stored.where("NOT split <=> 'train'")
+        rates, class_weights = _weights_of(train, n_features, min_rows, balanced)
         for epoch in range(1, epochs + 1):
-            gradient, train_loss = total["gradient"], total["train_loss"]
-            first = BETA1 * first + (1 - BETA1) * gradient
-            second = BETA2 * second + (1 - BETA2) * gradient**2
-            step = (first / (1 - BETA1**epoch)) / (
-                np.sqrt(second / (1 - BETA2**epoch)) + EPSILON
-            )
             rate = lr * (1 - (epoch - 1) / epochs)
-            weights = weights * (1 - rate * weight_decay) - rate * step
-            total = _pass(stored, weights, n_features, temperature, kd_weight)
-            accuracy = total["val_acc"]
-            history.append((run, epoch, epoch, train_loss, total["eval_loss"], accuracy))
+            update = _Update(rate * rates, weight_decay, temperature, kd_weight, batch_size, class_weights, sparsity)
+            state, train_loss = _epoch(train, state, update, F.xxhash64("key", F.lit(seed), F.lit(epoch)))
+            figures = _pass(validation, state.weights, n_features, temperature, kd_weight, False)
+            accuracy = figures["val_acc"]
+            history.append((run, epoch, state.steps, train_loss, figures["eval_loss"], accuracy))
             if accuracy is not None and accuracy >= best_accuracy:
-                best, best_accuracy = weights, accuracy
+                best, best_accuracy = state.weights, accuracy
     if history_path is not None:
         append_history(spark, history, history_path)
     if all(h[5] is None for h in history):
-        best = weights
+        best = state.weights
     return LinearStudent(best, {"n_features": n_features, "num_labels": 2}), history
 
 
+def _shares(rows: DataFrame, workers: int, seed: int) -> DataFrame:
+    """``rows`` with ``key``, a hash of content and number of copy, and ``worker``.
+
+    Copies are counted first and dealt out in runs of ``_COPIES``, so those of a hot text are
+    never in one task.
+    """
+    content = rows.columns
+    counted = rows.groupBy(*content).agg(F.count(F.lit(1)).alias("_n"))
+    last = F.floor((F.col("_n") - 1) / _COPIES)
+    parts = counted.select(*content, "_n", F.explode(F.sequence(F.lit(0), last)).alias("_part"))
+    first = F.col("_part") * _COPIES
+    copies = F.sequence(first, F.least(F.col("_n"), first + _COPIES) - 1)
+    dealt = parts.repartition(F.xxhash64(*content, "_part")).select(
+        *content, F.explode(copies).alias("_copy")
+    )
+    keyed = dealt.withColumn("key", F.xxhash64(*content, "_copy")).drop("_copy")
+    return keyed.withColumn("worker", F.pmod(F.xxhash64("key", F.lit(seed)), F.lit(workers)).cast("int"))
+
+
+def _weights_of(
+    train: DataFrame, n_features: int, min_rows: int, balanced: bool
+) -> tuple[np.ndarray, np.ndarray]:
+    """Rate of every id, one for the bias, and the weight of every class."""
+    ids = train.select(F.explode(F.array_distinct("input_ids")).alias("id"))
+    counts = ids.groupBy("id").agg(F.count(F.lit(1)).alias("n"))
+    found = counts.where(F.col("id").between(0, n_features - 1)).toPandas()
+    sizes = {r.label: r.n for r in train.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
+    total = sum(sizes.values())
+    rates = np.zeros(n_features + 1)
+    seen = found["n"].to_numpy()
+    rates[found["id"].to_numpy()] = seen >= min_rows
+    rates[-1] = 1.0
+    weights = np.ones(2)
+    if balanced:
+        for label, n in sizes.items():
+            weights[label] = total / (len(sizes) * n)
+    return rates, weights
+
+
+@dataclass
+class _State:
+    """Weights and moments, bias last, and the steps made so far."""
+
+    weights: np.ndarray
+    first: np.ndarray
+    second: np.ndarray
+    steps: int = 0
+
+    @staticmethod
+    def empty(n_features: int) -> _State:
+        return _State(*(np.zeros((2, n_features + 1)) for _ in range(3)))
+
+    def copy(self) -> _State:
+        return _State(self.weights.copy(), self.first.copy(), self.second.copy(), self.steps)
+
+
+@dataclass(frozen=True)
+class _Update:
+    """Settings of the steps of one epoch."""
+
+    rates: np.ndarray
+    weight_decay: float
+    temperature: float
+    kd_weight: float
+    batch_size: int
+    class_weights: np.ndarray
+    sparsity: float
+
+    def step(
+        self, state: _State, ids: pa.ListArray, label: np.ndarray, teacher: np.ndarray, rows: np.ndarray
+    ) -> float:
+        """One AdamW step on a batch; returns its mean loss and counts its rows by feature."""
+        logits, flat, sizes = _forward(state.weights, ids)
+        loss, _, slope = _losses(
+            logits, label, teacher, self.temperature, self.kd_weight, self.class_weights[label]
+        )
+        slope /= len(label)
+        used, place = np.unique(flat, return_inverse=True)
+        used = np.append(used, state.weights.shape[1] - 1)
+        per_id = np.repeat(slope / np.sqrt(sizes)[:, None], sizes, axis=0)
+        gradient = np.empty((2, len(used)))
+        for c in range(2):
+            gradient[c, :-1] = np.bincount(place, per_id[:, c], minlength=len(used) - 1)
+        gradient[:, -1] = slope.sum(axis=0)
+        state.steps += 1
+        first = state.first[:, used] = BETA1 * state.first[:, used] + (1 - BETA1) * gradient
+        second = state.second[:, used] = BETA2 * state.second[:, used] + (1 - BETA2) * gradient**2
+        move = (first / (1 - BETA1**state.steps)) / (
+            np.sqrt(second / (1 - BETA2**state.steps)) + EPSILON
+        )
+        rate = self.rates[used]
+        state.weights[:, used] *= 1 - rate * self.weight_decay
+        state.weights[:, used] -= rate * move
+        if self.sparsity:
+            ids = used[:-1]
+            least = self.sparsity * rate[:-1]
+            state.weights[:, ids] = np.sign(state.weights[:, ids]) * np.maximum(
+                np.abs(state.weights[:, ids]) - least, 0.0
+            )
+        rows[used[:-1]] += np.bincount(place, minlength=len(used) - 1)
+        rows[-1] += len(label)
+        return float(loss.mean())
+
+
+def _epoch(train: DataFrame, state: _State, update: _Update, order: Column) -> tuple[_State, float]:
+    """One epoch of all workers, averaged, and the mean loss of its batches.
+
+    Each worker sends the features it touched, so the result has at most one row a feature.
+    """
+    width = state.weights.shape[1]
+    shared = train.sparkSession.sparkContext.broadcast(state)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for worker in _by_worker(batches, update.batch_size):
+            own, rows, losses = shared.value.copy(), np.zeros(width), []
+            for batch in worker:
+                label = batch.column("label").to_numpy(zero_copy_only=False).astype(int)
+                teacher = batch.column("t_logits").flatten().to_numpy().reshape(len(label), -1)
+                losses.append(update.step(own, batch.column("input_ids"), label, teacher, rows))
+            used = np.flatnonzero(rows)
+            cells = np.concatenate([x[:, used] * rows[used] for x in (own.weights, own.first, own.second)])
+            # The last row holds losses, batches and the steps so far.
+            end = np.array([sum(losses), len(losses), own.steps, 1.0, 0.0, 0.0])
+            values = np.concatenate([cells, end[:, None]], axis=1)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.append(used, width).astype(np.int32)),
+                    pa.array(np.append(rows[used], 0.0)),
+                    *map(pa.array, values),
+                ],
+                names=["at", "rows", *(f"x{i}" for i in range(6))],
+            )
+
+    columns = [f"x{i}" for i in range(6)]
+    dealt = train.withColumn("_order", order).repartition("worker")
+    parts = (
+        dealt.sortWithinPartitions("worker", "_order", "key")
+        .select("input_ids", "label", "t_logits", "worker")
+        .mapInArrow(work, "at int, rows double, " + ", ".join(f"{c} double" for c in columns))
+    )
+    sums = [F.sum(c).alias(c) for c in ("rows", *columns)]
+    merged = parts.groupBy("at").agg(*sums).toPandas()
+    shared.destroy()
+    end = merged[merged["at"] == width]
+    if end.empty:
+        raise ValueError("no training rows")
+    cells = merged[merged["at"] < width]
+    at = cells["at"].to_numpy()
+    mean = cells[columns].to_numpy().T / cells["rows"].to_numpy()
+    after = state.copy()
+    for k, x in enumerate((after.weights, after.first, after.second)):
+        x[:, at] = mean[2 * k : 2 * k + 2]
+    loss, batches, steps, workers = (float(end[c].iloc[0]) for c in columns[:4])
+    after.steps = round(steps / workers)
+    return after, loss / batches
+
+
+def _by_worker(
+    batches: Iterator[pa.RecordBatch], size: int
+) -> Iterator[Iterator[pa.Table]]:
+    """For each worker of a task its rows, in batches of ``size``; the last may be short."""
+    rest: pa.Table | None = None
+    stream = (pa.Table.from_batches([b]) for b in batches if b.num_rows)
+
+    def more() -> bool:
+        nonlocal rest
+        table = next(stream, None)
+        if table is not None:
+            rest = table if rest is None else pa.concat_tables([rest, table])
+        return table is not None
+
+    def of_worker(worker: int) -> Iterator[pa.RecordBatch]:
+        nonlocal rest
+        while rest is not None:
+            own = int((np.asarray(rest.column("worker")) == worker).sum())
+            if own == rest.num_rows and own < size and more():
+                continue
+            if not own:
+                return
+            for batch in rest.slice(0, min(own, size)).combine_chunks().to_batches():
+                yield batch
+            rest = rest.slice(min(own, size))
+            if not rest.num_rows:
+                rest = None
+                more()
+
+    while rest is not None or more():
+        yield of_worker(rest.column("worker")[0].as_py())
+
+
+def _losses(
+    logits: np.ndarray,
+    label: np.ndarray,
+    teacher: np.ndarray,
+    temperature: float,
+    kd_weight: float,
+    row_weight: np.ndarray | float = 1.0,
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Loss of each row, its cross-entropy alone, and the slope of the loss by the logits.
+
+    ``row_weight`` weighs the cross-entropy within the loss.
+    """
+    log_p = _log_softmax(logits)
+    at_label = np.arange(len(label)), label
+    ce = -log_p[at_label]
+    log_s = _log_softmax(logits / temperature)
+    log_t = _log_softmax(teacher / temperature)
+    p_t = np.exp(log_t)
+    kd = temperature**2 * (p_t * (log_t - log_s)).sum(axis=1)
+    slope = np.exp(log_p)
+    slope[at_label] -= 1.0
+    slope *= np.reshape(row_weight, (-1, 1))
+    slope += kd_weight * temperature * (np.exp(log_s) - p_t)
+    return row_weight * ce + kd_weight * kd, ce, slope
+
+
 def _pass(
-    stored: DataFrame, weights: np.ndarray, n_features: int, temperature: float, kd_weight: float
+    stored: DataFrame,
+    weights: np.ndarray,
+    n_features: int,
+    temperature: float,
+    kd_weight: float,
+    need_train: bool = True,
 ) -> dict:
     """Loss, gradient and validation figures of one set of weights, in one job.
 
@@ -195,21 +434,12 @@ def _pass(
             teacher = batch.column("t_logits").flatten().to_numpy().reshape(len(label), -1)
             train = np.array(batch.column("split").to_pylist()) == "train"
             logits, flat, sizes = _forward(w, ids)
-            log_p = _log_softmax(logits)
-            at_label = np.arange(len(label)), label
-            ce = -log_p[at_label]
-            log_s = _log_softmax(logits / temperature)
-            log_t = _log_softmax(teacher / temperature)
-            p_t = np.exp(log_t)
-            kd = temperature**2 * (p_t * (log_t - log_s)).sum(axis=1)
-            sums[train_row] += ((ce + kd_weight * kd)[train].sum(), train.sum())
+            loss, ce, slope = _losses(logits, label, teacher, temperature, kd_weight)
+            sums[train_row] += (loss[train].sum(), train.sum())
             correct = logits.argmax(axis=1) == label
             sums[val_row] += (correct[~train].sum(), (~train).sum())
             sums[loss_row] += (ce[~train].sum(), 0.0)
 
-            slope = np.exp(log_p)
-            slope[at_label] -= 1.0
-            slope += kd_weight * temperature * (np.exp(log_s) - p_t)
             slope[~train] = 0.0
             per_id = np.repeat(slope / np.sqrt(sizes)[:, None], sizes, axis=0)
             for c in range(len(w)):
@@ -224,17 +454,18 @@ def _pass(
 
     parts = stored.mapInArrow(partial, "at int, v0 double, v1 double")
     merged = parts.groupBy("at").agg(F.sum("v0").alias("v0"), F.sum("v1").alias("v1")).toPandas()
+    shared.destroy()
     at = merged["at"].to_numpy()
     values = merged[["v0", "v1"]].to_numpy().T
     full = np.zeros((2, n_features + 4))
     full[:, at] = values
     loss, n_train = full[:, train_row]
     correct, n_val = full[:, val_row]
-    if n_train == 0:
+    if n_train == 0 and need_train:
         raise ValueError("no training rows")
     return {
-        "gradient": full[:, : n_features + 1] / n_train,
-        "train_loss": float(loss / n_train),
+        "gradient": full[:, : n_features + 1] / max(n_train, 1),
+        "train_loss": float(loss / n_train) if n_train else None,
         "eval_loss": float(full[0, loss_row] / n_val) if n_val else None,
         "val_acc": float(correct / n_val) if n_val else None,
     }
@@ -244,6 +475,9 @@ def _forward(weights: np.ndarray, ids: pa.ListArray):
     """Logits of each id list, with the flat ids and list sizes; lists are never empty."""
     flat = ids.flatten().to_numpy(zero_copy_only=False)
     sizes = ids.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+    features = weights.shape[1] - 1
+    if len(flat) and not 0 <= flat.min() <= flat.max() < features:
+        raise ValueError(f"an id lies outside of the student's {features} features")
     if len(sizes) == 0:
         return np.zeros((0, len(weights))), flat, sizes
     starts = np.cumsum(sizes) - sizes

@@ -17,9 +17,16 @@ from sensitext.plans.inputs import SCHEMAS, documents, labelled_ids, table
 from sensitext.session import scratch_path
 from sensitext.streaming.score_stream import read_stream, score_stream
 
-# Full-batch steps of a linear student need a larger rate than small-batch training.
-STUDENT_LEARNING_RATE = 0.1
-STUDENT_STEPS = 30
+# A linear student starts from nothing, so it needs a larger rate than a tuned transformer.
+STUDENT = {
+    "epochs": 20,
+    "lr": 0.4,
+    "workers": 4,
+    "kd_weight": 2.0,
+    "sparsity": 0.3,
+    "min_rows": 30,
+    "balanced": True,
+}
 # Detectors of this process: their number is that of sessions and folders, and each is as small
 # as its vocabulary.
 _teachers: dict[tuple[str, str], Detector] = {}
@@ -58,9 +65,7 @@ def student(spark: SparkSession, data_dir: str) -> tuple[Detector, DataFrame, li
     model, rows = teacher(spark, data_dir)
     encoded = rows.select("doc_id", "label", "split", "input_ids")
     soft = soft_labels(encoded, model.score_encoded)
-    fitted, steps = fit_student(
-        soft, epochs=STUDENT_STEPS, lr=STUDENT_LEARNING_RATE, run="distil"
-    )
+    fitted, steps = fit_student(soft, run="distil", **STUDENT)
     return Detector(fitted, model.vocab, model.max_length, model.id2label), rows, steps
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from sensitext.functions.losses import ce_loss, hidden_loss, kd_loss, total_loss
 from sensitext.operators.distill import (
     LinearStudent,
+    _shares,
     fit_student,
     kd_gradient,
     soft_labels,
@@ -156,3 +157,85 @@ def test_first_step_equals_the_loss_gradient(id_rows):
 def test_no_training_rows_is_an_error(id_rows):
     with pytest.raises(ValueError, match="no training rows"):
         fit_student(id_rows.where("split = 'validation'"), 10, epochs=1)
+
+
+def plain_epochs(rows, epochs, lr, size, order, decay=0.01, temperature=4.0, sparsity=0.0):
+    """AdamW over batches of ordered rows in plain NumPy; weights of untouched ids stay."""
+    w, m, v, steps = (np.zeros((2, 11)) for _ in range(3)), None, None, 0
+    w, m, v = w
+    losses = []
+    for epoch in range(1, epochs + 1):
+        rate, total = lr * (1 - (epoch - 1) / epochs), []
+        ordered = [rows[i] for i in order[epoch - 1]]
+        for at in range(0, len(ordered), size):
+            gradient, touched, loss = np.zeros_like(w), {10}, 0.0
+            batch = ordered[at : at + size]
+            for r in batch:
+                x = np.zeros(11)
+                for i in r.input_ids:
+                    x[i] += 1 / np.sqrt(len(r.input_ids))
+                    touched.add(i)
+                x[10] = 1.0
+                z, t = w @ x, np.array(r.t_logits)
+                soft = lambda q: np.exp(q - q.max()) / np.exp(q - q.max()).sum()
+                p, ps, pt = soft(z), soft(z / temperature), soft(t / temperature)
+                y = np.eye(2)[r.label]
+                loss += -np.log(p[r.label]) + temperature**2 * (pt * np.log(pt / ps)).sum()
+                gradient += np.outer(p - y + temperature * (ps - pt), x) / len(batch)
+            total.append(loss / len(batch))
+            steps += 1
+            for i in touched:
+                m[:, i] = 0.9 * m[:, i] + 0.1 * gradient[:, i]
+                v[:, i] = 0.999 * v[:, i] + 0.001 * gradient[:, i] ** 2
+                move = m[:, i] / (1 - 0.9**steps) / (np.sqrt(v[:, i] / (1 - 0.999**steps)) + 1e-8)
+                w[:, i] = w[:, i] * (1 - rate * decay) - rate * move
+                if sparsity and i != 10:
+                    w[:, i] = np.sign(w[:, i]) * np.maximum(np.abs(w[:, i]) - sparsity * rate, 0)
+        losses.append(np.mean(total))
+    return w, losses
+
+
+@pytest.mark.parametrize("sparsity", [0.0, 0.2])
+def test_one_worker_equals_a_plain_loop_over_batches(spark, id_rows, sparsity):
+    train = id_rows.where("split = 'train'").select("input_ids", "label", "t_logits", "split")
+    dealt = _shares(train.withColumn("label", F.col("label").cast("int")), 1, 42)
+    places = [F.xxhash64("key", F.lit(42), F.lit(e)).alias(f"e{e}") for e in (1, 2, 3)]
+    rows = dealt.select("*", *places).collect()
+    order = [sorted(range(len(rows)), key=lambda i: (rows[i][f"e{e}"], rows[i].key)) for e in (1, 2, 3)]
+    want, losses = plain_epochs(rows, 3, 0.1, 8, order, sparsity=sparsity)
+    # Without validation rows the last weights are the result.
+    student, history = fit_student(
+        train, 10, epochs=3, lr=0.1, batch_size=8, workers=1, sparsity=sparsity
+    )
+    assert np.allclose(student.weights, want)
+    assert np.allclose([h[3] for h in history], losses)
+    assert history[-1][2] == 3 * -(-len(rows) // 8)
+
+
+def test_copies_of_a_hot_row_are_dealt_to_all_workers(spark):
+    rows = spark.range(9000).select(
+        F.when(F.col("id") % 3 > 0, F.array(F.lit(1), F.lit(2)))
+        .otherwise(F.array(F.lit(1), (F.col("id") % 7).cast("int")))
+        .alias("input_ids"),
+        F.lit(1).alias("label"),
+        F.array(F.lit(0.0), F.lit(1.0)).alias("t_logits"),
+        F.lit("train").alias("split"),
+    )
+    dealt = _shares(rows, 6, 42).groupBy("worker").count().collect()
+    assert sum(r["count"] for r in dealt) == 9000
+    assert len(dealt) == 6 and max(r["count"] for r in dealt) < 1.2 * min(r["count"] for r in dealt)
+
+
+@pytest.mark.parametrize("bad", [10, 11, -1])
+def test_ids_outside_of_the_features_are_refused(spark, id_rows, bad):
+    extra = id_rows.limit(1).withColumn("input_ids", F.array(F.lit(1), F.lit(bad)))
+    with pytest.raises(Exception, match="outside of the student's 10 features"):
+        fit_student(id_rows.unionByName(extra), 10, epochs=1)
+    student = LinearStudent(np.zeros((2, 11)))
+    with pytest.raises(Exception, match="outside of the student's 10 features"):
+        student.score_encoded(extra).collect()
+
+
+def test_rare_ids_and_class_weights(spark, id_rows):
+    student, _ = fit_student(id_rows, 10, epochs=2, lr=0.1, min_rows=10**6, balanced=True)
+    assert not student.weights[:, :-1].any() and student.weights[:, -1].any()
