@@ -8,6 +8,7 @@ from sensitext.constants import MAX_LENGTH
 from sensitext.functions.losses import ce_loss, kd_loss, total_loss
 from sensitext.functions.scoring import argmax, linear_logits
 from sensitext.operators.encoding import Vocab, encode
+from sensitext.operators.prefilter import may_match
 from sensitext.operators.prep import coerce_label, hash_split
 from sensitext.sources.tables import labelled_from_tables, read_table
 
@@ -52,10 +53,12 @@ def labelled_ids(
 ) -> DataFrame:
     """``doc_id, label, split, input_ids, truncated``: encoded below the join with the labels.
 
-    At most ``max_length`` numbers a document are moved, never its text.
+    A Bloom filter over the labels' ids keeps other documents from being encoded. At most
+    ``max_length`` numbers a document are moved, never its text.
     """
     labels = table(spark, data_dir, "labels", "doc_id", "toxic")
-    encoded = encode(hash_split(documents(spark, data_dir)), vocab, max_length)
+    docs = may_match(table(spark, data_dir, "documents", "doc_id", "text"), labels, "doc_id")
+    encoded = encode(hash_split(docs), vocab, max_length)
     narrow = encoded.select("doc_id", "split", "input_ids", "truncated")
     return coerce_label(labelled_from_tables(narrow, labels))
 
