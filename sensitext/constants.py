@@ -54,7 +54,6 @@ HIDDEN_WEIGHT = 0.5
 TRAIN_BATCH = 16
 DISTILL_BATCH = 32
 ENCODE_BATCH = 1000
-TEACHER_EPOCHS = 4
 TEACHER_WEIGHT_DECAY = 0.01
 STUDENT_EPOCHS = 6
 STUDENT_LR = 3e-5

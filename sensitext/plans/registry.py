@@ -5,6 +5,7 @@ from __future__ import annotations
 from sensitext.plans import (
     encoding_queries,
     io_queries,
+    kind_queries,
     metric_queries,
     model_queries,
     prep_queries,
@@ -18,6 +19,7 @@ _CHECKED = (
     scoring_queries,
     metric_queries,
     io_queries,
+    kind_queries,
     trained_checks,
 )
 
