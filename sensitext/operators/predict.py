@@ -188,29 +188,38 @@ def score_distinct(
 ) -> DataFrame:
     """Score each distinct text once and give every copy the result; null counts as a text.
 
-    Worth its shuffles for a heavy model. The join back is on a digest of the text, so the
-    scored side is a few bytes per row. Copies of a hot text are spread over all shuffle
-    partitions by a salt, for which its one result is repeated; AQE alone would not do, as
-    it goes by compressed bytes and copies compress to little.
+    Worth its shuffles for a heavy model. One scan: each task folds its copies of a text into one
+    cell, which holds the text once and what is kept of its rows, so a cell is never larger than
+    what a task reads. Verdicts come from the cells by digest and go back to them by digest and
+    task; copies of a hot text stay spread, as they have a cell in every task that read one.
     """
-    # Never null, so that the optimizer adds no second digest as a null check.
+    # Never null, so that the optimizer adds no null check to one use of the cells alone.
     digest: Column = F.coalesce(F.sha2(F.col(key), 256), F.lit(""))
     keep = list(df.columns) if keep is None else list(keep)
-    salts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    # Fewer than _HOT_VALUES rows whatever the size of the corpus.
-    hot = F.broadcast(hot_values(df, key).withColumn("_hot", F.lit(True)))
-
-    def marked(rows: DataFrame) -> DataFrame:
-        hashed = rows.withColumns({"_digest": digest, "_hash": F.xxhash64(key)})
-        return hashed.join(hot, "_hash", "left").drop("_hash")
-
-    # A task's rows share a salt, which a repeated task finds again.
-    salt = F.when(F.col("_hot"), F.spark_partition_id() % salts).otherwise(F.lit(0))
-    salted = marked(df).withColumn("_salt", salt).select(*keep, "_digest", "_salt")
-
-    unique = df.select(key).distinct()
-    last = F.when(F.col("_hot"), F.lit(salts - 1)).otherwise(F.lit(0))
-    scored = marked(score(unique, model)).select(
-        "_digest", F.explode(F.sequence(F.lit(0), last)).alias("_salt"), "logits"
+    # The text stands in the cell already; a row without other columns is an empty mark.
+    others = [F.col(c) for c in keep if c != key] or [F.lit(True).alias("_mark")]
+    cells = (
+        df.select(
+            digest.alias("_digest"),
+            F.spark_partition_id().alias("_task"),
+            F.col(key).alias("_text"),
+            F.struct(*others).alias("_row"),
+        )
+        .groupBy("_digest", "_task")
+        .agg(F.min("_text").alias("_text"), F.collect_list("_row").alias("_rows"))
+        # Always true. As it asks for both columns, both uses have the same shuffle, which Spark
+        # then makes once; pruned apart they would be two scans.
+        .where("size(_rows) > 0 AND (_text IS NULL OR length(_text) >= 0)")
+    )
+    unique = cells.groupBy("_digest").agg(
+        F.min("_text").alias(key), F.collect_set("_task").alias("_tasks")
+    )
+    verdicts = score(unique, model).select(
+        "_digest", F.explode("_tasks").alias("_task"), "logits"
+    )
+    rows = cells.join(verdicts, ["_digest", "_task"], "left").select(
+        "_text", "logits", F.explode("_rows").alias("_row")
+    )
+    return rows.select(
+        *[(F.col("_text") if c == key else F.col(f"_row.`{c}`")).alias(c) for c in keep], "logits"
     )
-    return salted.join(scored, ["_digest", "_salt"], "left").drop("_digest", "_salt")

@@ -94,6 +94,29 @@ def test_copies_of_a_hot_text_are_spread(spark):
     assert len(hot_tasks) > 3
 
 
+@pytest.mark.parametrize("broadcast", ["10485760", "-1"])
+def test_distinct_scoring_scans_texts_once(spark, data_dir, broadcast):
+    jobs = spark.sparkContext.statusTracker()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
+    group = f"building-{broadcast}"
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        docs = spark.read.schema("doc_id bigint, text string").parquet(f"{data_dir}/documents.parquet")
+        scored = score_distinct(
+            docs, lambda d: d.selectExpr("*", "array(0D, double(length(text))) logits"), keep=("doc_id",)
+        )
+        assert not jobs.getJobIdsForGroup(group)
+        rows = scored.collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert {r.doc_id: r.logits[1] for r in rows} == {
+        r.doc_id: r.n for r in docs.selectExpr("doc_id", "double(length(text)) n").collect()
+    }
+    run = plan_of(scored).split("== Initial Plan ==")[0]
+    assert run.count("FileScan") == 1 and run.count("ReusedExchange") == 1
+
+
 def test_batch_numbering_moves_rows_once(spark):
     """Joining the bucket offsets adds no second shuffle or sort of the rows."""
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
