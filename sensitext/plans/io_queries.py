@@ -22,17 +22,24 @@ from sensitext.plans.inputs import (
     vectors,
 )
 from sensitext.session import scratch_path
+from sensitext.sources.csv_blocks import read_labelled_blocks
 from sensitext.sources.labelled import load_splits, write_splits
 from sensitext.sources.sinks import append_history, read_history, write_predictions
 
 
-def csv_splits(spark, data_dir):
-    """Labelled texts written as one CSV, split into two, and read back whole."""
-    raw, split = scratch_path(spark, "labelled-csv"), scratch_path(spark, "split-csv")
+def _written_csv(spark, data_dir):
+    """The path of the labelled texts as CSV."""
+    raw = scratch_path(spark, "labelled-csv")
     writer = labelled(spark, data_dir).select("text", "label").write.option("header", True)
     for side in ("Leading", "Trailing"):
         writer = writer.option(f"ignore{side}WhiteSpace", False)
     writer.option("escape", '"').csv(raw)
+    return raw
+
+
+def csv_splits(spark, data_dir):
+    """Labelled texts written as one CSV, split into two, and read back whole."""
+    raw, split = _written_csv(spark, data_dir), scratch_path(spark, "split-csv")
     write_splits(spark, raw, split)
     rows = coerce_label(load_splits(spark, split))
     # Copies of a text may bear different labels, so both are grouped by.
@@ -41,6 +48,12 @@ def csv_splits(spark, data_dir):
     )
 
 
+def csv_blocks(spark, data_dir):
+    """Labelled texts written as CSV and read back by blocks."""
+    rows = coerce_label(read_labelled_blocks(spark, _written_csv(spark, data_dir)))
+    return rows.groupBy("label", F.md5("text").alias("digest")).agg(F.count(F.lit(1)).alias("n"))
+
+
 def prediction_files(spark, data_dir):
     """Prediction records written as Parquet and as JSON, read back and put side by side."""
     records = predict(
@@ -81,6 +94,7 @@ def batch_lengths(spark, data_dir):
 
 QUERIES = {
     "csv_splits": csv_splits,
+    "csv_blocks": csv_blocks,
     "prediction_files": prediction_files,
     "history_appends": history_appends,
     "batch_lengths": batch_lengths,
@@ -92,6 +106,8 @@ _NAME = f"CASE {sql_pred('t0', 't1')} WHEN 1 THEN '敏感' ELSE '非敏感' END"
 ORACLE = {
     "csv_splits": f"""WITH {SQL_LABELLED} SELECT split, label, md5(text) AS digest, count(*) AS n
         FROM labelled GROUP BY ALL""",
+    "csv_blocks": f"""WITH {SQL_LABELLED} SELECT label, md5(text) AS digest, count(*) AS n
+        FROM labelled GROUP BY ALL""",
     "prediction_files": f"""WITH {SQL_SCORED} SELECT vec_id, {_NAME} AS prediction,
         {_NAME} AS json_prediction, {_CONFIDENCE} AS confidence, {_CONFIDENCE} AS json_confidence
         FROM scored""",
