@@ -125,11 +125,11 @@ def fit_teacher(
     # Read once per iteration, so written once as narrow id arrays.
     with stored_once(encoded.select("input_ids", "labels"), "teacher-input") as stored:
         if balanced:
-            stored = _weighted(stored)
+            stored = weighted(stored)
         return Detector(Pipeline(stages=stages).fit(stored), ids, max_length)
 
 
-def _weighted(rows: DataFrame) -> DataFrame:
+def weighted(rows: DataFrame) -> DataFrame:
     """Add ``_weight``, by which the classes that occur have equal sums."""
     counts = {r.labels: r.n for r in rows.groupBy("labels").agg(F.count("*").alias("n")).collect()}
     total = sum(counts.values())

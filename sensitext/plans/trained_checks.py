@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from sensitext.constants import ID2LABEL
 from sensitext.functions.scoring import argmax
+from sensitext.operators.certificate import certificate
 from sensitext.operators.metrics import compute_metrics
 from sensitext.operators.predict import detect, predict
 from sensitext.operators.train import evaluate
@@ -106,12 +107,22 @@ def evaluate_recomputed(spark, data_dir):
     )
 
 
+def teacher_optimality(spark, data_dir):
+    """The teacher's weights are those that its training rows ask for, within the tolerance."""
+    model, rows = teacher(spark, data_dir)
+    checked = certificate(model, rows.where(F.col("split") == "train"))
+    # Only the intercept is met in every row.
+    n_rows = F.when(F.col("kind") == "intercept", F.col("n_rows"))
+    return checked.select("kind", n_rows.alias("n_rows"), "holds")
+
+
 QUERIES = {
     "teacher_records": teacher_records,
     "student_records": student_records,
     "model_roundtrip": model_roundtrip,
     "stream_equals_batch": stream_equals_batch,
     "evaluate_recomputed": evaluate_recomputed,
+    "teacher_optimality": teacher_optimality,
 }
 
 _RECORDS = f"""WITH {SQL_LABELLED} SELECT doc_id, label, split, true AS sums_to_one,
@@ -128,4 +139,8 @@ ORACLE = {
     "evaluate_recomputed": f"""WITH {SQL_LABELLED} SELECT split, count(*) AS n_rows,
         true AS eval_accuracy, true AS eval_precision, true AS eval_recall, true AS eval_f1,
         true AS eval_loss FROM labelled GROUP BY split""",
+    "teacher_optimality": f"""WITH {SQL_LABELLED} SELECT kind,
+        CASE kind WHEN 'intercept' THEN n END AS n_rows, true AS holds
+        FROM (SELECT count(*) AS n FROM labelled WHERE split = 'train'),
+          (VALUES ('intercept'), ('used'), ('zero')) k(kind)""",
 }
