@@ -12,6 +12,8 @@ _SPLIT_RANGE = 4294967296.0
 # Rows are numbered inside buckets; 65,536 of them keep a bucket small even for tens of
 # billions of rows, and the table of bucket offsets stays below two megabytes.
 _BUCKET_DIGITS = 4
+# Fewer inside each length: a thousand lengths then make four million buckets at most.
+_LENGTH_DIGITS = 3
 _RANGE_BUCKETS = 1024
 
 
@@ -93,20 +95,33 @@ def assign_batches(
     epochs: int | Sequence[int] = 1,
     shuffle: bool = True,
     by: Sequence[str] = (),
+    length: str | None = None,
 ) -> DataFrame:
     """Add ``epoch``, ``row_index`` and ``batch_id``; the last batch of an epoch may be short.
 
     Shuffled order is by ``md5(id:seed:epoch)``, otherwise by the id itself. ``id_col``
-    must be unique. With ``by`` every group, such as a split, has batches of its own. Rows are
+    must be unique. With ``by`` every group, such as a split, has batches of its own. With
+    ``length``, a column of whole numbers, rows of like lengths share batches, which then need
+    little padding: the order is by length, nulls first, and shuffled inside each length, so batches
+    rise in length and a trainer should take them in another order than that of their numbers.
+    Rows are
     numbered inside buckets that follow the order, and a small
     table of bucket sizes gives every bucket its start, so no task sees all rows.
     """
     epoch_list = [epochs] if isinstance(epochs, int) else list(epochs)
     rows = df.withColumn("epoch", F.explode(F.array(*[F.lit(int(e)) for e in epoch_list])))
+    if length is not None and not shuffle:
+        raise ValueError("batches by length are shuffled inside each length")
     if shuffle:
         name = F.concat_ws(":", F.col(id_col).cast("string"), F.lit(str(seed)), F.col("epoch"))
         rows = rows.withColumn("_order", F.md5(name))
         bucket = F.substring("_order", 1, _BUCKET_DIGITS)
+        if length is not None:
+            # The length comes first, so that the offsets of buckets put short rows first.
+            bucket = F.struct(
+                F.col(length).cast("bigint").alias("n"),
+                F.substring("_order", 1, _LENGTH_DIGITS).alias("part"),
+            )
     else:
         cuts = _range_cuts(df, id_col)
         rows = rows.withColumn("_order", F.col(id_col))

@@ -86,6 +86,23 @@ def pad_longest(spark, data_dir):
     )
 
 
+def length_batches(spark, data_dir):
+    """Padding of batches with rows in random order beside batches of like lengths."""
+    rows = _encoded(spark, data_dir).select("doc_id", "split", F.size("input_ids").alias("n"))
+    totals = []
+    for order, length in (("random", None), ("length", "n")):
+        batched = assign_batches(rows, TRAIN_BATCH, "doc_id", by=["split"], length=length)
+        sizes = batched.groupBy("split", "batch_id").agg(
+            (F.max("n") * F.count(F.lit(1)) - F.sum("n")).alias("padding")
+        )
+        totals.append(
+            sizes.groupBy("split", F.lit(order).alias("order")).agg(
+                F.count(F.lit(1)).alias("n_batches"), F.sum("padding").alias("padding_longest")
+            )
+        )
+    return totals[0].unionByName(totals[1])
+
+
 def pad_max(spark, data_dir):
     padded = pad(_encoded(spark, data_dir), "max_length")
     return padded.select("doc_id", _joined("input_ids").alias("input_ids"))
@@ -136,6 +153,7 @@ QUERIES = {
     "token_ids": token_ids,
     "truncate_specials": truncate_specials,
     "pad_longest": pad_longest,
+    "length_batches": length_batches,
     "pad_max": pad_max,
     "attention_mask": attention_mask_query,
     "token_type_ids": token_type_ids_query,
@@ -191,6 +209,17 @@ ORACLE = {
           FROM batched)
         SELECT doc_id, split, epoch, batch_id, longest::INT AS n, {_text(_padded('longest'))} AS input_ids
         FROM sized""",
+    "length_batches": f"""{_WITH_ENCODED},
+        orders AS (SELECT split, len(ids) AS n, 'random' AS "order",
+            row_number() OVER (PARTITION BY split ORDER BY md5(doc_id || ':42:1'), doc_id) AS r
+          FROM encoded
+          UNION ALL SELECT split, len(ids), 'length',
+            row_number() OVER (PARTITION BY split ORDER BY len(ids), md5(doc_id || ':42:1'), doc_id)
+          FROM encoded),
+        sizes AS (SELECT split, "order", max(n) * count(*) - sum(n) AS padding
+          FROM orders GROUP BY split, "order", (r - 1) // {TRAIN_BATCH})
+        SELECT split, "order", count(*) AS n_batches, sum(padding)::BIGINT AS padding_longest
+        FROM sizes GROUP BY "order", split""",
     "pad_max": f"""{_WITH_ENCODED}
         SELECT doc_id, {_text(_padded(str(MAX_LENGTH)))} AS input_ids FROM encoded""",
     "attention_mask": f"""{_WITH_ENCODED}

@@ -107,3 +107,21 @@ def test_batches_of_groups_are_their_own(spark):
             own = [r for r in rows if r.kind == kind and r.epoch == epoch]
             assert sorted(r.row_index for r in own) == list(range(n))
             assert all(r.batch_id == r.row_index // 8 for r in own)
+
+
+def test_rows_of_like_lengths_share_batches(spark):
+    df = spark.range(300).selectExpr("id", "CASE WHEN id % 7 > 0 THEN id % 7 END AS n", "id % 2 AS kind")
+    rows = assign_batches(df, 16, epochs=[1, 2], by=["kind"], length="n").collect()
+    assert len(rows) == 600
+    orders = []
+    for kind in (0, 1):
+        for epoch in (1, 2):
+            own = sorted((r for r in rows if (r.kind, r.epoch) == (kind, epoch)), key=lambda r: r.row_index)
+            assert [r.row_index for r in own] == list(range(150))
+            assert all(r.batch_id == r.row_index // 16 for r in own)
+            assert [r.n or 0 for r in own] == sorted(r.n or 0 for r in own)
+            orders.append([r.id for r in own])
+    assert orders[0] != orders[1] and orders[0] != sorted(orders[0], key=lambda i: (i % 7, i))
+    assert assign_batches(df.limit(0), 16, length="n").count() == 0
+    with pytest.raises(ValueError, match="shuffled"):
+        assign_batches(df, 16, shuffle=False, length="n")
