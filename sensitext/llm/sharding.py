@@ -20,6 +20,9 @@ BITS = 60
 LIMIT_BYTES = 8 << 20
 SPARE_BITS = 3
 ROW_BYTES = 64  # ids and other short columns
+# Chains: characters of a text that deal it out, and parts of the rows with one text.
+START_CHARS = 16
+SALTS = 256
 
 
 def key_bits(id_col: str = "doc_id") -> Column:
@@ -93,18 +96,70 @@ def assign_shards(docs: DataFrame, limit: int = LIMIT_BYTES) -> DataFrame:
 
 
 def _chains(rows: DataFrame, limit: int) -> DataFrame:
-    """Overflow pages of rows that agree in all bits, in order of size.
+    """Overflow pages of rows that agree in all bits, in order of size, id and text.
 
     The running sum is cut at every half of the limit, so a page of rows that are no longer
     than a half stays within it; longer rows get pages of their own, numbered below 0.
+
+    One id, or none, may name a large part of all rows, so no window holds a chain. A
+    row's place among those of its size adds up from counts: of smaller ids and beginnings of
+    texts, of smaller texts with its beginning, of equal rows with a smaller salt, and last of
+    those before it within its salt. The rows are written once, so that salts stay what they are.
     """
-    wide = F.col("bytes") > limit // 2
-    order = Window.partitionBy("_bits", wide).orderBy("bytes", "doc_id", "text")
-    before = F.sum("bytes").over(order.rowsBetween(Window.unboundedPreceding, -1))
-    page = F.when(wide, -F.row_number().over(order)).otherwise(
-        1 + F.floor(F.coalesce(before, F.lit(0)) / (limit // 2))
+    salted = rows.withColumns(
+        {
+            "_wide": F.col("bytes") > limit // 2,
+            "_start": F.substring("text", 1, START_CHARS),
+            "_digest": F.sha2(F.col("text"), 256),
+            "_salt": F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int"),
+        }
+    )
+    stored = materialise(salted, "shard-chains")
+    size, begin = ["_bits", "_wide", "bytes"], ["doc_id", "_start"]
+    copies = [*size, *begin, "_digest"]
+
+    def before(part: list[str], *order: str | Column) -> Column:
+        """Rows counted in ``n`` that come earlier in the part."""
+        earlier = Window.partitionBy(*part).orderBy(*order)
+        return F.coalesce(
+            F.sum("n").over(earlier.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
+        )
+
+    cells = stored.groupBy(*copies, "_salt").agg(F.count("*").alias("n"))
+    texts = stored.groupBy(*copies).agg(F.count("*").alias("n"), F.min("text").alias("text"))
+    starts = texts.groupBy(*size, *begin).agg(F.sum("n").alias("n"))
+    sizes = starts.groupBy(*size).agg(F.sum("n").alias("n"))
+
+    # One row per size, then per beginning, text and salt, each with its offset in the one before.
+    by_size = Window.partitionBy("_bits", "_wide").orderBy("bytes")
+    earlier = by_size.rowsBetween(Window.unboundedPreceding, -1)
+    of_sizes = sizes.select(
+        *size,
+        before(["_bits", "_wide"], "bytes").alias("_rows"),
+        F.coalesce(F.sum(F.col("n") * F.col("bytes")).over(earlier), F.lit(0)).alias("_sum"),
     )
-    return rows.withColumns({"shard": F.concat(F.lit("b"), "_bits"), "page": page.cast("int")})
+    of_starts = starts.select(*size, *begin, before(size, *begin).alias("_p1"))
+    of_texts = texts.select(*copies, before([*size, *begin], "text").alias("_p2"))
+    of_cells = cells.select(*copies, "_salt", before(copies, "_salt").alias("_p3"))
+    own = F.row_number().over(Window.partitionBy(*copies, "_salt").orderBy("_salt")) - 1
+    counted = _beside(_beside(stored.withColumn("_p4", own), of_cells, [*copies, "_salt"]), of_texts, copies)
+    counted = _beside(_beside(counted, of_starts, [*size, *begin]), of_sizes, size)
+    place = F.col("_p1") + F.col("_p2") + F.col("_p3") + F.col("_p4")
+    page = F.when(F.col("_wide"), -(F.col("_rows") + place + 1)).otherwise(
+        1 + F.floor((F.col("_sum") + place * F.col("bytes")) / (limit // 2))
+    )
+    return counted.select(
+        *[F.col(c) for c in rows.columns],
+        F.concat(F.lit("b"), "_bits").alias("shard"),
+        page.cast("int").alias("page"),
+    )
+
+
+def _beside(rows: DataFrame, offsets: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows with the offsets of their keys, of which any may be null."""
+    named = offsets.withColumnsRenamed({k: f"_of_{k}" for k in keys})
+    same = [rows[k].eqNullSafe(named[f"_of_{k}"]) for k in keys]
+    return rows.join(named, same, "left").drop(*[f"_of_{k}" for k in keys])
 
 
 def write_shards(docs: DataFrame, path: str, limit: int = LIMIT_BYTES) -> DataFrame:
