@@ -6,6 +6,8 @@ power of two is exact and ``rint`` rounds ties to even as IEEE 754 asks.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, functions as F
 
 from sensitext.functions.binding import bind
@@ -46,6 +48,20 @@ def dequantize_int8(quantized: Column | str) -> Column:
     )
 
 
+def integer_dots(q: Column | str, heads: Sequence[Sequence[int]]) -> Column:
+    """One dot product of whole numbers per class head over a quantised vector."""
+    rows = ("array(" + ", ".join(f"{int(w)}L" for w in head) + ")" for head in heads)
+    heads_lit = F.expr("array(" + ", ".join(rows) + ")")
+
+    def dot(v: Column, h: Column) -> Column:
+        products = F.zip_with(v, h, lambda x, w: x * w)
+        return F.aggregate(products, F.lit(0).cast("bigint"), lambda acc, x: acc + x)
+
+    return bind(
+        _col(q).cast("array<bigint>"), lambda v: F.transform(heads_lit, lambda h: dot(v, h))
+    )
+
+
 def to_fp16(vector: Column | str) -> Column:
     """Each value as it reads after a trip through half precision."""
     return F.transform(_col(vector).cast("array<double>"), _half)

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from sensitext.operators.distill import fit_student, soft_labels
+from sensitext.operators.integer_scorer import IntegerDetector
+from sensitext.operators.parity import parity_report, parity_summary
 from sensitext.operators.predict import detect, predict, predict_probes
 from sensitext.operators.encoding import build_vocab, vocab_dict
 from sensitext.operators.prep import hash_split
@@ -88,6 +90,14 @@ def detect_texts(spark, data_dir):
     return detect(documents(spark, data_dir), model, keep=("doc_id",))
 
 
+def int8_parity(spark, data_dir):
+    """The fitted teacher against itself in int8, over every document."""
+    model, _ = teacher(spark, data_dir)
+    # Encoded once for both scorers.
+    encoded = model.encode(documents(spark, data_dir)).select("doc_id", "input_ids")
+    return parity_summary(parity_report(encoded, model, IntegerDetector.of(model), ("doc_id",)))
+
+
 def stream_texts(spark, data_dir):
     """The detector over conversation turns that arrive as a stream."""
     model, _ = teacher(spark, data_dir)
@@ -109,5 +119,6 @@ QUERIES = {
     "student_predict": student_predict,
     "probe_report": probe_report,
     "detect_texts": detect_texts,
+    "int8_parity": int8_parity,
     "stream_texts": stream_texts,
 }

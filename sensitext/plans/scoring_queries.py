@@ -16,6 +16,7 @@ from sensitext.functions.scoring import (
     softmax,
     softmax_t,
 )
+from sensitext.operators.integer_scorer import integer_linear_scorer
 from sensitext.operators.parity import (
     agreement,
     parity_report,
@@ -227,6 +228,13 @@ def parity_summary_query(spark, data_dir):
     return summary.withColumns({"agreement": r6("agreement"), "max_diff": r6("max_diff")})
 
 
+def int8_dots(spark, data_dir):
+    """Whole-number dot products of quantised vectors and heads, and the logits they give."""
+    rows = integer_linear_scorer("embedding", TEACHER_HEADS)(vectors(spark, data_dir))
+    dots = [F.element_at("dots", j + 1).alias(f"dot{j}") for j in range(2)]
+    return rows.select("vec_id", *dots, *_pair("logit", F.col("logits")))
+
+
 def stream_score(spark, data_dir):
     """Scores the vector table as a stream, to its end, and reads the sink."""
     source = f"{data_dir}/embeddings.[p]arquet"
@@ -268,6 +276,7 @@ QUERIES = {
     "agreement": agreement_query,
     "parity_report": parity_report_query,
     "parity_summary": parity_summary_query,
+    "int8_dots": int8_dots,
     "stream_score": stream_score,
 }
 
@@ -296,6 +305,15 @@ def _sql(columns: str, rest: str = "FROM scored") -> str:
     return f"WITH {SQL_SCORED} SELECT {columns} {rest}"
 
 
+def _head_scale(head: str) -> str:
+    return f"(list_max(list_transform({head}, lambda x: abs(x))) / 127::DOUBLE)"
+
+
+def _int8_dot(head: str) -> str:
+    steps = f"list_transform({head}, lambda x: round_even(x / {_head_scale(head)}, 0))"
+    return f"list_dot_product(q, {steps})"
+
+
 def _detect_columns() -> str:
     return (
         f"vec_id, {_T_PRED} AS label, {sql_r6(_CONFIDENCE)} AS confidence, "
@@ -357,5 +375,10 @@ ORACLE = {
         {sql_r6(f'avg(({_T_PRED} = {_B_PRED})::INT)')} AS agreement,
         count(*) FILTER (max_diff < {PARITY_TOLERANCE}) AS n_consistent,
         {sql_r6('max(max_diff)')} AS max_diff FROM parity""",
+    "int8_dots": f"""{_WITH_INT8} SELECT vec_id, {_int8_dot(SQL_TEACHER[0])}::BIGINT AS dot0,
+        {_int8_dot(SQL_TEACHER[1])}::BIGINT AS dot1,
+        {sql_r6(f'{_int8_dot(SQL_TEACHER[0])} * scale * {_head_scale(SQL_TEACHER[0])}')} AS logit0,
+        {sql_r6(f'{_int8_dot(SQL_TEACHER[1])} * scale * {_head_scale(SQL_TEACHER[1])}')} AS logit1
+        FROM quantized""",
     "stream_score": _sql(_detect_columns()),
 }

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from sensitext.constants import ID2LABEL
 from sensitext.functions.scoring import argmax
 from sensitext.operators.certificate import certificate
+from sensitext.operators.integer_scorer import IntegerDetector
 from sensitext.operators.metrics import compute_metrics
 from sensitext.operators.predict import detect, predict
 from sensitext.operators.train import evaluate
@@ -116,6 +117,28 @@ def teacher_optimality(spark, data_dir):
     return checked.select("kind", n_rows.alias("n_rows"), "holds")
 
 
+def int8_detector(spark, data_dir):
+    """Over all documents, the teacher in int8 keeps within the bounds of its rounding."""
+    model, _ = teacher(spark, data_dir)
+    encoded = model.encode(documents(spark, data_dir)).select("doc_id", "input_ids")
+    full = model.score_encoded(encoded).withColumnRenamed("logits", "full")
+    both = IntegerDetector.of(model).score_encoded(full, detail=True)
+    return both.select("doc_id", *int8_checks())
+
+
+def int8_checks(full: str = "full") -> list[Column]:
+    """What holds for ``logits`` and ``bounds`` beside the logits of the full weights.
+
+    Other decisions than the full ones are open only where their margin is within the bounds.
+    """
+    at = [[F.element_at(c, j + 1) for j in range(2)] for c in (full, "logits", "bounds")]
+    (f0, f1), (i0, i1), (b0, b1) = at
+    near = (F.abs(f0 - i0) <= b0 + _TINY) & (F.abs(f1 - i1) <= b1 + _TINY)
+    open_margin = F.abs(f1 - f0) <= b0 + b1 + 2 * _TINY
+    same = argmax(full) == argmax("logits")
+    return [near.alias("within_bounds"), (same | open_margin).alias("decision_is_founded")]
+
+
 QUERIES = {
     "teacher_records": teacher_records,
     "student_records": student_records,
@@ -123,6 +146,7 @@ QUERIES = {
     "stream_equals_batch": stream_equals_batch,
     "evaluate_recomputed": evaluate_recomputed,
     "teacher_optimality": teacher_optimality,
+    "int8_detector": int8_detector,
 }
 
 _RECORDS = f"""WITH {SQL_LABELLED} SELECT doc_id, label, split, true AS sums_to_one,
@@ -143,4 +167,6 @@ ORACLE = {
         CASE kind WHEN 'intercept' THEN n END AS n_rows, true AS holds
         FROM (SELECT count(*) AS n FROM labelled WHERE split = 'train'),
           (VALUES ('intercept'), ('used'), ('zero')) k(kind)""",
+    "int8_detector": """SELECT doc_id, true AS within_bounds, true AS decision_is_founded
+        FROM documents""",
 }
