@@ -31,6 +31,7 @@ from sensitext.functions.text import (
     pad_ids,
     token_type_ids,
 )
+from sensitext.operators.longest_match import LongestMatch
 from sensitext.operators.prep import coerce_label, coerce_text
 
 Vocab = DataFrame | dict[str, int]
@@ -142,11 +143,11 @@ def vocab_dict(vocab: Vocab, max_size: int = MAX_VOCAB) -> dict[str, int]:
 
 def wordpiece(words: DataFrame, vocab: Vocab, word_col: str = "word") -> DataFrame:
     """Pieces of each word, greedy longest match from the left: ``word, pieces``."""
-    shared = words.sparkSession.sparkContext.broadcast(vocab_dict(vocab))
+    shared = words.sparkSession.sparkContext.broadcast(LongestMatch(vocab_dict(vocab)))
 
     @F.arrow_udf("array<string>")
     def to_pieces(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        split = _piece_splitter(shared.value)
+        split = shared.value.split
         for batch in batches:
             yield pa.array([None if w is None else split(w) for w in batch.to_pylist()])
 
@@ -284,44 +285,19 @@ def _specials(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(list(SPECIAL_TOKENS.items()), "token string, id int")
 
 
-def _piece_splitter(vocab: dict[str, int]):
-    longest = max((len(t.removeprefix("##")) for t in vocab), default=0)
-
-    def split(word: str) -> list[str]:
-        if word in vocab and len(word) <= MAX_WORD_CHARS:
-            return [word]
-        if len(word) > MAX_WORD_CHARS:
-            return ["[UNK]"]
-        pieces: list[str] = []
-        start = 0
-        while start < len(word):
-            prefix = "##" if start else ""
-            for end in range(min(len(word), start + longest), start, -1):
-                piece = prefix + word[start:end]
-                if piece in vocab:
-                    pieces.append(piece)
-                    start = end
-                    break
-            else:
-                return ["[UNK]"]
-        return pieces
-
-    return split
-
-
 def _ids_column(spark: SparkSession, vocab: Vocab, words: Column, split_words: bool) -> Column:
-    shared = spark.sparkContext.broadcast(vocab_dict(vocab))
+    known = vocab_dict(vocab)
+    shared = spark.sparkContext.broadcast((known, LongestMatch(known) if split_words else None))
 
     @F.arrow_udf("array<int>")
     def to_ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        ids = shared.value
-        split = _piece_splitter(ids)
+        ids, matcher = shared.value
         memo: dict[str, list[int]] = {}
 
         def lookup(word: str) -> list[int]:
             found = memo.get(word)
             if found is None:
-                pieces = split(word) if split_words else [word]
+                pieces = [word] if matcher is None else matcher.split(word)
                 found = memo[word] = [ids.get(p, UNK_ID) for p in pieces]
             return found
 
