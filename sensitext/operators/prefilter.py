@@ -8,6 +8,7 @@ and then and meets the join; a row with one is never dropped.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 from operator import and_
 
@@ -45,12 +46,12 @@ def bloom_filter(keys: DataFrame, key: str, kind: str, bits: int) -> bytes:
     return bytes(out)
 
 
-def may_match(df: DataFrame, keys: DataFrame, key: str) -> DataFrame:
-    """Rows of ``df`` whose ``key`` may stand in ``keys``, and all that do; null keys never do.
+def membership(keys: DataFrame, key: str, kind: str | None = None) -> Callable[[Column], Column]:
+    """A test of columns of type ``kind``, the key's own unless given: may a value stand in ``keys``?
 
-    Two small jobs run at once: a count of the keys, and the filter.
+    Two small jobs run at once: a count of the keys, and the filter. A null never stands there.
     """
-    kind = df.schema[key].dataType.simpleString()
+    kind = kind or keys.schema[key].dataType.simpleString()
     narrow = keys.select(key)
     bits = filter_bits(narrow.count())
     whole = F.lit(bloom_filter(narrow, key, kind, bits))
@@ -60,5 +61,10 @@ def may_match(df: DataFrame, keys: DataFrame, key: str) -> DataFrame:
         number = F.conv(F.hex(byte), 16, 10).cast("int")
         return number.bitwiseAND(F.pow(F.lit(2), place % 8).cast("int")) != 0
 
+    return lambda value: reduce(and_, map(is_set, _places(value, bits)), value.isNotNull())
+
+
+def may_match(df: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """Rows of ``df`` whose ``key`` may stand in ``keys``, and all that do; null keys never do."""
     # A null is no key of an equal join.
-    return df.where(reduce(and_, map(is_set, _places(F.col(key), bits)), F.col(key).isNotNull()))
+    return df.where(membership(keys, key, df.schema[key].dataType.simpleString())(F.col(key)))

@@ -7,7 +7,7 @@ from dataclasses import dataclass, field
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import HashingTF, IDF, NGram, SQLTransformer
+from pyspark.ml.feature import CountVectorizerModel, HashingTF, IDF, NGram, SQLTransformer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -16,6 +16,7 @@ from sensitext.functions.losses import ce_loss
 from sensitext.functions.scoring import argmax
 from sensitext.operators.distill import LinearStudent
 from sensitext.operators.encoding import build_vocab, encode, vocab_dict
+from sensitext.operators.grams import gram_dictionary
 from sensitext.operators.metrics import metric_columns
 from sensitext.operators.predict import detect, predict
 from sensitext.session import stored_once
@@ -83,6 +84,7 @@ def fit_teacher(
     balanced: bool = True,
     sparsity: float = 0.9,
     min_rows: int = 3,
+    dictionary: bool = False,
 ) -> Detector:
     """Fit a detector on rows of ``label`` and ``text``, or ``input_ids`` made with ``vocab``.
 
@@ -91,7 +93,9 @@ def fit_teacher(
     warm-up; ``weight_decay`` is the penalty and ``sparsity`` the share of it that is L1, which
     sets the weights of most ids to zero. Features are the token ids a text holds
     and, on request, their bigrams, weighted by IDF; those in fewer than ``min_rows`` rows count
-    nothing. With ``balanced`` both classes weigh the
+    nothing. They are hashed into ``n_features`` places; with ``dictionary`` the most frequent
+    ``n_features`` of them have a place each and the others none, so that no two share a weight.
+    With ``balanced`` both classes weigh the
     same in the loss, whatever their number of rows.
     """
     is_encoded = "input_ids" in train.columns
@@ -102,28 +106,37 @@ def fit_teacher(
         encoded = train.select("input_ids", F.col("label").alias("labels"))
     else:
         encoded = encode(train.select("text", "label"), ids, max_length)
-    grams = "concat(_tokens, _bigrams)" if bigrams else "_tokens"
-    stages = [
-        SQLTransformer(
-            statement="SELECT *, transform(input_ids, x -> cast(x AS string)) AS _tokens "
-            "FROM __THIS__"
-        ),
-        *([NGram(n=2, inputCol="_tokens", outputCol="_bigrams")] if bigrams else []),
-        SQLTransformer(statement=f"SELECT *, {grams} AS _grams FROM __THIS__"),
-        HashingTF(numFeatures=n_features, binary=True, inputCol="_grams", outputCol="_seen"),
-        IDF(minDocFreq=min_rows, inputCol="_seen", outputCol="features"),
-        LogisticRegression(
-            featuresCol="features",
-            labelCol="labels",
-            regParam=weight_decay,
-            elasticNetParam=sparsity,
-            maxIter=max_iter,
-            standardization=False,
-            **({"weightCol": "_weight"} if balanced else {}),
-        ),
-    ]
+    as_tokens = "transform(input_ids, x -> cast(x AS string)) AS _tokens"
     # Read once per iteration, so written once as narrow id arrays.
     with stored_once(encoded.select("input_ids", "labels"), "teacher-input") as stored:
+        if dictionary:
+            known = gram_dictionary(
+                stored.selectExpr(as_tokens), "_tokens", 2 if bigrams else 1, min_rows, n_features
+            )
+            if not known:
+                raise ValueError(f"no feature stands in {min_rows} rows")
+            counts = CountVectorizerModel.from_vocabulary(known, "_grams", "_seen", binary=True)
+        else:
+            counts = HashingTF(
+                numFeatures=n_features, binary=True, inputCol="_grams", outputCol="_seen"
+            )
+        grams = "concat(_tokens, _bigrams)" if bigrams else "_tokens"
+        stages = [
+            SQLTransformer(statement=f"SELECT *, {as_tokens} FROM __THIS__"),
+            *([NGram(n=2, inputCol="_tokens", outputCol="_bigrams")] if bigrams else []),
+            SQLTransformer(statement=f"SELECT *, {grams} AS _grams FROM __THIS__"),
+            counts,
+            IDF(minDocFreq=min_rows, inputCol="_seen", outputCol="features"),
+            LogisticRegression(
+                featuresCol="features",
+                labelCol="labels",
+                regParam=weight_decay,
+                elasticNetParam=sparsity,
+                maxIter=max_iter,
+                standardization=False,
+                **({"weightCol": "_weight"} if balanced else {}),
+            ),
+        ]
         if balanced:
             stored = weighted(stored)
         return Detector(Pipeline(stages=stages).fit(stored), ids, max_length)

@@ -22,12 +22,15 @@ from sensitext.operators.encoding import (
     word_counts,
     wordpiece,
 )
+from sensitext.operators.grams import frequent_grams
 from sensitext.operators.prep import assign_batches
 from sensitext.plans.inputs import SQL_LABELLED, documents, labelled_ids, r6, sql_r6
 from sensitext.plans.text_sql import sql_encoded, sql_tokens, sql_vocab, sql_wordpiece
 
 # A small vocabulary makes most words fall into pieces.
 SMALL_VOCAB = 2000
+# Rows that a frequent gram stands in.
+GRAM_ROWS = 5
 
 
 def _joined(ids: Column | str) -> Column:
@@ -46,6 +49,12 @@ def basic_tokens_query(spark, data_dir):
     )
 
 
+def frequent_grams_query(spark, data_dir):
+    """Words and pairs of neighbours that stand in ``GRAM_ROWS`` documents at least."""
+    tokens = documents(spark, data_dir).select(basic_tokens("text").alias("tokens"))
+    return frequent_grams(tokens, "tokens", 2, GRAM_ROWS)
+
+
 def build_vocab_query(spark, data_dir):
     return build_vocab(documents(spark, data_dir), VOCAB_SIZE)
 
@@ -148,6 +157,7 @@ def length_profile_query(spark, data_dir):
 
 QUERIES = {
     "basic_tokens": basic_tokens_query,
+    "frequent_grams": frequent_grams_query,
     "build_vocab": build_vocab_query,
     "wordpiece": wordpiece_query,
     "token_ids": token_ids,
@@ -195,6 +205,13 @@ _BATCHES = f"""batched AS (
 ORACLE = {
     "basic_tokens": f"""SELECT doc_id, len(toks)::INT AS n, {_text('toks')} AS tokens
         FROM (SELECT doc_id, {sql_tokens('text')} AS toks FROM documents)""",
+    "frequent_grams": f"""WITH toks AS MATERIALIZED (
+          SELECT doc_id, {sql_tokens('text')} AS t FROM documents WHERE text IS NOT NULL),
+        cells AS (SELECT DISTINCT doc_id, unnest(t) AS gram, 1 AS size FROM toks
+          UNION ALL SELECT DISTINCT doc_id,
+            unnest(list_transform(range(1, len(t)), lambda i: t[i] || ' ' || t[i + 1])), 2 FROM toks)
+        SELECT gram, size, count(*) AS n_rows FROM cells GROUP BY gram, size
+        HAVING count(*) >= {GRAM_ROWS}""",
     "build_vocab": f"WITH {sql_vocab('documents', VOCAB_SIZE)} SELECT token, id FROM vocab",
     "wordpiece": f"""WITH RECURSIVE {sql_vocab('documents', SMALL_VOCAB)},
         todo AS MATERIALIZED (SELECT DISTINCT unnest({sql_tokens('text')}) AS word
