@@ -33,6 +33,7 @@ from sensitext.functions.text import (
 )
 from sensitext.operators.longest_match import LongestMatch
 from sensitext.operators.prep import coerce_label, coerce_text
+from sensitext.sources.settings import TokenizerSettings
 
 Vocab = DataFrame | dict[str, int]
 # The columns that name a batch; the number alone does not where epochs or splits have their own.
@@ -177,13 +178,17 @@ def encode(
     batch_col: BatchKey | None = None,
     on_null: str = "nan",
     keep_raw: bool = False,
+    settings: TokenizerSettings | None = None,
 ) -> DataFrame:
     """Model inputs for each text: ids, mask, token types, and ``labels`` if ``label`` exists.
 
+    With ``settings`` no input is longer than their ``model_max_length``.
+
     A word gives at least one piece, so words beyond ``max_length - 1`` cannot matter:
     they are cut before WordPiece. One word more than fits is looked at, to tell whether
     the text was ``truncated``.
     """
+    max_length = settings.longest(max_length) if settings else max_length
     source = coerce_text(df, on_null, text_col)
     words = source.withColumn("_words", leading_tokens(text_col, max_length - 1))
     pieces = word_ids(words, vocab, "_words", "_ids")

@@ -65,6 +65,10 @@ class IntegerDetector:
             heads, bias = fitted.coefficientMatrix.toArray(), fitted.interceptVector.toArray()
         return cls(detector, *quantize_weights(heads), bias, heads != 0)
 
+    @property
+    def id2label(self) -> dict[int, str]:
+        return self.detector.id2label
+
     def score(self, df: DataFrame) -> DataFrame:
         """Add ``logits`` to rows that have ``text`` or ``input_ids``."""
         rows = df if "label" not in df.columns else df.withColumnRenamed("label", "_label")

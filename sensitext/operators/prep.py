@@ -15,6 +15,8 @@ _BUCKET_DIGITS = 4
 # Fewer inside each length: a thousand lengths then make four million buckets at most.
 _LENGTH_DIGITS = 3
 _RANGE_BUCKETS = 1024
+# Cuts that are compared one by one.
+_RANGE_GROUP = 32
 
 
 def check_columns(df: DataFrame, required: Sequence[str] = ("text", "label")) -> DataFrame:
@@ -123,9 +125,8 @@ def assign_batches(
                 F.substring("_order", 1, _LENGTH_DIGITS).alias("part"),
             )
     else:
-        cuts = _range_cuts(df, id_col)
         rows = rows.withColumn("_order", F.col(id_col))
-        bucket = F.size(F.filter(cuts, lambda c: c <= F.col(id_col)))
+        bucket = _range_bucket(F.col(id_col), _range_cuts(df, id_col))
     rows = rows.withColumn("_bucket", bucket)
     group = ["epoch"]
     if by:
@@ -157,14 +158,34 @@ def assign_batches(
     )
 
 
-def _range_cuts(df: DataFrame, id_col: str) -> Column:
-    """About a thousand ids that cut the id range into even parts, as a literal array.
+def _range_cuts(df: DataFrame, id_col: str) -> list:
+    """About a thousand ids that cut the id range into even parts, in rising order.
 
     The cuts only balance the work; the row numbers are exact for any cuts.
     """
     shares = [i / _RANGE_BUCKETS for i in range(1, _RANGE_BUCKETS)]
     row = df.agg(F.percentile_approx(id_col, shares).alias("cuts")).first()
-    cuts = sorted(set(row.cuts or []))
+    return sorted(set(row.cuts or []))
+
+
+def _range_bucket(value: Column, cuts: list) -> Column:
+    """How many of the rising ``cuts`` are at most ``value``; none are for a null.
+
+    Halving finds the group of cuts that the value falls into, and only those of the group are
+    compared one by one.
+    """
     if not cuts:
-        return F.array().cast(f"array<{df.schema[id_col].dataType.simpleString()}>")
-    return F.array(*[F.lit(c) for c in cuts])
+        return F.lit(0)
+    groups = [cuts[i : i + _RANGE_GROUP] for i in range(0, len(cuts), _RANGE_GROUP)]
+
+    def group_of(low: int, high: int) -> Column:
+        if low == high:
+            return F.lit(low)
+        middle = (low + high) // 2
+        below = value < F.lit(groups[middle + 1][0])
+        return F.when(below, group_of(low, middle)).otherwise(group_of(middle + 1, high))
+
+    group = group_of(0, len(groups) - 1)
+    near = F.element_at(F.array(*[F.array(*map(F.lit, g)) for g in groups]), group + F.lit(1))
+    found = group * F.lit(_RANGE_GROUP) + F.size(F.filter(near, lambda c: c <= value))
+    return F.when(value.isNull(), F.lit(0)).otherwise(found)

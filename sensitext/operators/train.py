@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -21,6 +21,7 @@ from sensitext.operators.metrics import metric_columns
 from sensitext.operators.predict import detect, predict
 from sensitext.session import stored_once
 from sensitext.sources.labelled import texts
+from sensitext.sources.settings import TokenizerSettings
 
 _STAGE_COLUMNS = ("_tokens", "_bigrams", "_grams", "_seen", "features", "probability", "prediction")
 
@@ -85,6 +86,8 @@ def fit_teacher(
     sparsity: float = 0.9,
     min_rows: int = 3,
     dictionary: bool = False,
+    id2label: Mapping[int, str] = ID2LABEL,
+    settings: TokenizerSettings | None = None,
 ) -> Detector:
     """Fit a detector on rows of ``label`` and ``text``, or ``input_ids`` made with ``vocab``.
 
@@ -96,8 +99,10 @@ def fit_teacher(
     nothing. They are hashed into ``n_features`` places; with ``dictionary`` the most frequent
     ``n_features`` of them have a place each and the others none, so that no two share a weight.
     With ``balanced`` both classes weigh the
-    same in the loss, whatever their number of rows.
+    same in the loss, whatever their number of rows. The detector names its classes by
+    ``id2label`` and, with ``settings``, reads no more ids than their ``model_max_length``.
     """
+    max_length = settings.longest(max_length) if settings else max_length
     is_encoded = "input_ids" in train.columns
     if is_encoded and vocab is None:
         raise ValueError("encoded rows need the vocabulary they were made with")
@@ -139,7 +144,7 @@ def fit_teacher(
         ]
         if balanced:
             stored = weighted(stored)
-        return Detector(Pipeline(stages=stages).fit(stored), ids, max_length)
+        return Detector(Pipeline(stages=stages).fit(stored), ids, max_length, dict(id2label))
 
 
 def weighted(rows: DataFrame) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from sensitext.constants import PARITY_TOLERANCE
@@ -16,7 +17,7 @@ from sensitext.functions.scoring import (
     softmax,
     softmax_t,
 )
-from sensitext.operators.integer_scorer import integer_linear_scorer
+from sensitext.operators.integer_scorer import integer_linear_scorer, quantize_weights
 from sensitext.operators.parity import (
     agreement,
     parity_report,
@@ -24,6 +25,7 @@ from sensitext.operators.parity import (
     parity_verdict,
 )
 from sensitext.operators.predict import (
+    batch_scorer,
     detect,
     linear_score,
     linear_scorer,
@@ -37,12 +39,14 @@ from sensitext.plans.inputs import (
     SQL_TEACHER,
     STUDENT_HEADS,
     TEACHER_HEADS,
+    WIDTH,
     documents,
     r6,
     scored,
     sql_pred,
     sql_r6,
     sql_softmax,
+    table,
     vectors,
 )
 from sensitext.session import scratch_path
@@ -235,6 +239,24 @@ def int8_dots(spark, data_dir):
     return rows.select("vec_id", *dots, *_pair("logit", F.col("logits")))
 
 
+def _outside_model():
+    """A model over batches of vectors, in whole numbers of int8, whose sums are exact in floats."""
+    weights, _ = quantize_weights(np.array(TEACHER_HEADS))
+
+    def run(batch):
+        q, _ = quantize_weights(batch)
+        return (q.astype(np.int64) @ weights.T.astype(np.int64)).astype(np.float32)
+
+    return run
+
+
+def batch_scores(spark, data_dir):
+    """Vectors through a model that is loaded once a worker and sees NumPy batches."""
+    rows = table(spark, data_dir, "embeddings", "vec_id", "embedding")
+    scored = batch_scorer(_outside_model, ["embedding"], [[WIDTH]], batch_size=64)(rows)
+    return scored.select("vec_id", *[F.element_at("logits", j + 1).alias(f"logit{j}") for j in range(2)])
+
+
 def stream_score(spark, data_dir):
     """Scores the vector table as a stream, to its end, and reads the sink."""
     source = f"{data_dir}/embeddings.[p]arquet"
@@ -277,6 +299,7 @@ QUERIES = {
     "parity_report": parity_report_query,
     "parity_summary": parity_summary_query,
     "int8_dots": int8_dots,
+    "batch_scores": batch_scores,
     "stream_score": stream_score,
 }
 
@@ -375,6 +398,8 @@ ORACLE = {
         {sql_r6(f'avg(({_T_PRED} = {_B_PRED})::INT)')} AS agreement,
         count(*) FILTER (max_diff < {PARITY_TOLERANCE}) AS n_consistent,
         {sql_r6('max(max_diff)')} AS max_diff FROM parity""",
+    "batch_scores": f"""{_WITH_INT8} SELECT vec_id, {_int8_dot(SQL_TEACHER[0])} AS logit0,
+        {_int8_dot(SQL_TEACHER[1])} AS logit1 FROM quantized""",
     "int8_dots": f"""{_WITH_INT8} SELECT vec_id, {_int8_dot(SQL_TEACHER[0])}::BIGINT AS dot0,
         {_int8_dot(SQL_TEACHER[1])}::BIGINT AS dot1,
         {sql_r6(f'{_int8_dot(SQL_TEACHER[0])} * scale * {_head_scale(SQL_TEACHER[0])}')} AS logit0,

@@ -19,6 +19,10 @@ class TokenizerSettings:
     strip_accents: bool | None = None
     model_max_length: int = MODEL_MAX_LENGTH
 
+    def longest(self, max_length: int) -> int:
+        """The length asked for, or the model's where that is shorter."""
+        return min(max_length, self.model_max_length)
+
 
 def load_tokenizer_settings(spark: SparkSession, path: str) -> TokenizerSettings:
     """Settings from a ``tokenizer_config.json``.
@@ -71,7 +75,9 @@ def load_label_map(spark: SparkSession, config_json: str | None = None) -> dict[
 def _read_json(spark: SparkSession, path: str) -> dict:
     if os.path.isdir(path):
         raise ValueError(f"{path} is a folder; name the JSON file")
-    rows = spark.read.text(path, wholetext=True).limit(1).collect()
+    rows = spark.read.text(path, wholetext=True).limit(2).collect()
     if not rows:
         raise ValueError(f"{path} is empty")
+    if len(rows) > 1:
+        raise ValueError(f"{path} holds more than one file; name the JSON file")
     return json.loads(rows[0].value)

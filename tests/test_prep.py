@@ -3,6 +3,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from sensitext.operators.prep import (
+    _range_bucket,
     assign_batches,
     check_columns,
     coerce_label,
@@ -125,3 +126,21 @@ def test_rows_of_like_lengths_share_batches(spark):
     assert assign_batches(df.limit(0), 16, length="n").count() == 0
     with pytest.raises(ValueError, match="shuffled"):
         assign_batches(df, 16, shuffle=False, length="n")
+
+
+@pytest.mark.parametrize("n_cuts", [0, 1, 31, 32, 33, 64, 500, 1023])
+def test_range_buckets_count_the_cuts(spark, n_cuts):
+    cuts = [7 * i for i in range(n_cuts)]
+    ids = spark.range(-20, 7 * n_cuts + 20).union(spark.sql("SELECT CAST(NULL AS bigint)"))
+    for r in ids.select("id", _range_bucket(F.col("id"), cuts).alias("b")).collect():
+        assert r.b == (0 if r.id is None else sum(c <= r.id for c in cuts))
+
+
+def test_ordered_batches_of_doubles_and_dates(spark):
+    df = spark.range(500).select(
+        (F.col("id") * -0.5).alias("x"), F.date_add(F.lit("2020-01-01").cast("date"), -F.col("id").cast("int")).alias("d")
+    )
+    for key in ("x", "d"):
+        rows = assign_batches(df, 64, key, shuffle=False).orderBy("row_index").collect()
+        assert [r.row_index for r in rows] == list(range(500))
+        assert [r[key] for r in rows] == sorted(r[key] for r in rows)

@@ -6,6 +6,8 @@ from pyspark.errors import PySparkException
 from sensitext.constants import ID2LABEL, SPECIAL_TOKENS
 from sensitext.operators.prep import coerce_label
 from sensitext.sources.labelled import load_splits, read_labelled_csv, texts, write_splits
+from sensitext.operators.encoding import encode
+from sensitext.operators.train import fit_teacher
 from sensitext.sources.settings import load_label_map, load_tokenizer_settings, load_vocab
 from sensitext.sources.sinks import append_history, read_history, write_predictions
 from sensitext.sources.tables import labelled_from_tables
@@ -152,3 +154,23 @@ def test_history_is_appended(spark, tmp_path):
 
 def test_shared_folder_is_the_one_the_session_names(spark):
     assert checkpoint_root(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def test_settings_take_effect(spark, tmp_path):
+    settings = load_tokenizer_settings(spark, _config(tmp_path / "t.json", model_max_length=6))
+    rows = spark.createDataFrame([("a b c d e f g h", 1), ("a", 0)] * 4, "text string, label int")
+    vocab = {"[UNK]": 100, **{c: 200 + i for i, c in enumerate("abcdefgh")}}
+    lengths = {len(r.input_ids) for r in encode(rows, vocab, settings=settings).collect()}
+    assert lengths == {6, 3}
+    assert {len(r.input_ids) for r in encode(rows, vocab, 4, settings=settings).collect()} == {4, 3}
+    names = {0: "no", 1: "yes"}
+    detector = fit_teacher(rows, vocab, max_iter=5, id2label=names, settings=settings)
+    assert detector.max_length == 6
+    assert {r.prediction for r in detector.classify(rows).collect()} <= {"no", "yes"}
+
+
+def test_a_folder_of_settings_is_refused(spark, tmp_path):
+    for name in ("a", "b"):
+        (tmp_path / f"{name}.json").write_text("{}")
+    with pytest.raises(ValueError, match="more than one file"):
+        load_tokenizer_settings(spark, str(tmp_path / "*.json"))
