@@ -8,7 +8,8 @@ slot; a task writes whole shards of ``shard_slots`` slots, in which slot ``s`` s
 there by arithmetic alone.
 
 A record is the header ``doc_id`` (8 bytes), ``piece`` (4), ``length`` (4), then
-``seq_len`` token ids of 2 bytes, all little-endian; places after ``length`` hold 0.
+``seq_len`` token ids of 2 bytes, all little-endian; places after ``length`` hold 0. A document
+without an id has -1 for it and its lengths negated, as any number may be an id.
 """
 
 from __future__ import annotations
@@ -90,7 +91,7 @@ def write_training_order(
     """Writes the shards of all documents to ``folder`` and returns the number of slots.
 
     Rows of the folder are ``shard, first_slot, slots, stride, payload``. A null text counts as
-    empty and gives one sequence with ``end`` alone; a null id is written as -1; ids may
+    empty and gives one sequence with ``end`` alone; a null id reads back as null; ids may
     repeat. No documents give no shards.
     """
     spark = docs.sparkSession
@@ -137,8 +138,8 @@ def write_training_order(
                     if held:
                         yield flush()
                     shard, body, held = slot // shard_slots, bytearray(), 0
-                head = np.array([-1 if doc is None else doc], "<i8").tobytes()
-                head += np.array([piece, length], "<i4").tobytes()
+                doc, length = (-1, -length) if doc is None else (doc, length)
+                head = np.array([doc], "<i8").tobytes() + np.array([piece, length], "<i4").tobytes()
                 body += head + ids + bytes(stride - HEADER - len(ids))
                 held += 1
         if held:
@@ -173,7 +174,9 @@ def read_order(spark, folder: str, first_slot: int = 0) -> DataFrame:
                     at = k * stride
                     doc = int.from_bytes(payload[at : at + 8], "little", signed=True)
                     piece = int.from_bytes(payload[at + 8 : at + 12], "little")
-                    length = int.from_bytes(payload[at + 12 : at + 16], "little")
+                    length = int.from_bytes(payload[at + 12 : at + 16], "little", signed=True)
+                    # Every sequence has a token, so no length is 0.
+                    doc, length = (None, -length) if length < 0 else (doc, length)
                     ids = payload[at + HEADER : at + HEADER + 2 * length]
                     slot = row["first_slot"] + k
                     out.append((slot, row["shard"], at, doc, piece, length, zlib.crc32(ids), ids))
