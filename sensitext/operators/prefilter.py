@@ -1,9 +1,11 @@
 """A Bloom filter over join keys, to drop rows before costly work below a join.
 
 The filter is built from bitmaps of Spark's own (``bitmap_construct_agg``): each task sets the bits of
-its keys and Spark merges them, so what reaches the driver is the filter alone. It travels as one
-binary value in the plan and is looked up by plain expressions. A row without a partner passes now
-and then and meets the join; a row with one is never dropped.
+its keys and Spark merges them, so what reaches the driver is the filter alone. It travels as the one
+row of a table beside the plan, which is a scalar subquery of it, and is looked up by plain
+expressions: as a literal it would stand in the plan once for each use, and in every text that Spark
+makes of the plan. A row without a partner passes now and then and meets the join; a row with one is
+never dropped.
 """
 
 from __future__ import annotations
@@ -12,6 +14,8 @@ from collections.abc import Callable
 from functools import reduce
 from operator import and_
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 # Bits of one bitmap of Spark's.
@@ -29,14 +33,19 @@ def filter_bits(n_keys: int) -> int:
     return bits
 
 
-def _places(key: Column, bits: int) -> list[Column]:
-    return [F.pmod(F.xxhash64(key, F.lit(i)), F.lit(bits)) for i in range(PROBES)]
+def digest(key: Column) -> Column:
+    """The one hash of a key that all its places come from."""
+    return F.xxhash64(key)
+
+
+def _places(hashed: Column, bits: int) -> list[Column]:
+    return [F.pmod(F.xxhash64(hashed, F.lit(i)), F.lit(bits)) for i in range(PROBES)]
 
 
 def bloom_filter(keys: DataFrame, key: str, kind: str, bits: int) -> bytes:
     """Filter over the keys that are not null, taken as of type ``kind``."""
     value = F.col(key).cast(kind)
-    places = keys.where(value.isNotNull()).select(F.explode(F.array(*_places(value, bits))).alias("p"))
+    places = keys.where(value.isNotNull()).select(F.explode(F.array(*_places(digest(value), bits))).alias("p"))
     maps = places.groupBy(F.floor(F.col("p") / _BITMAP).alias("at")).agg(
         F.bitmap_construct_agg(F.col("p") % _BITMAP).alias("map")
     )
@@ -49,19 +58,29 @@ def bloom_filter(keys: DataFrame, key: str, kind: str, bits: int) -> bytes:
 def membership(keys: DataFrame, key: str, kind: str | None = None) -> Callable[[Column], Column]:
     """A test of columns of type ``kind``, the key's own unless given: may a value stand in ``keys``?
 
-    Two small jobs run at once: a count of the keys, and the filter. A null never stands there.
+    A null never stands there.
+    """
+    may = digest_membership(keys, key, kind)
+    return lambda value: value.isNotNull() & may(digest(value))
+
+
+def digest_membership(keys: DataFrame, key: str, kind: str | None = None) -> Callable[[Column], Column]:
+    """The test of ``membership`` for columns of digests, which a caller may have computed once.
+
+    Two small jobs run at once: a count of the keys, and the filter.
     """
     kind = kind or keys.schema[key].dataType.simpleString()
     narrow = keys.select(key)
     bits = filter_bits(narrow.count())
-    whole = F.lit(bloom_filter(narrow, key, kind, bits))
+    words = np.frombuffer(bloom_filter(narrow, key, kind, bits), "<i8")
+    row = pa.table({"words": pa.ListArray.from_arrays([0, len(words)], pa.array(words))})
+    whole = keys.sparkSession.createDataFrame(row).scalar()
 
     def is_set(place: Column) -> Column:
-        byte = F.substring(whole, (place / 8).cast("int") + 1, F.lit(1))
-        number = F.conv(F.hex(byte), 16, 10).cast("int")
-        return number.bitwiseAND(F.pow(F.lit(2), place % 8).cast("int")) != 0
+        word = F.get(whole, F.shiftright(place, 6).cast("int"))
+        return F.bit_get(word, (place % 64).cast("int")) == 1
 
-    return lambda value: reduce(and_, map(is_set, _places(value, bits)), value.isNotNull())
+    return lambda hashed: reduce(and_, map(is_set, _places(hashed, bits)))
 
 
 def may_match(df: DataFrame, keys: DataFrame, key: str) -> DataFrame:

@@ -51,3 +51,10 @@ def test_only_labelled_documents_are_encoded(spark, data_dir):
     # The filter stands below the encoder, on the scan, without a shuffle in between.
     assert "xxhash64" in below and "Exchange" not in below[: below.index("xxhash64")]
     assert "RoundRobin" not in plan
+
+
+def test_the_plan_does_not_hold_the_filter(spark):
+    """The text of the plan, which the driver keeps, is as long for many keys as for few."""
+    rows = spark.range(10).withColumnRenamed("id", "key")
+    plans = [plan_of(may_match(rows, spark.range(n).toDF("key"), "key")) for n in (10, 60_000)]
+    assert abs(len(plans[0]) - len(plans[1])) < 200 and len(plans[1]) < 20_000
