@@ -7,13 +7,10 @@ filter of bounded size tells; what passes it by chance is counted and falls out
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import and_
-
 from pyspark.sql import Column, DataFrame, functions as F
 
 from sensitext.functions.binding import bind
-from sensitext.operators.prefilter import membership
+from sensitext.operators.prefilter import digest, digest_membership
 from sensitext.session import materialise
 
 
@@ -25,14 +22,20 @@ def grams_of(tokens: Column | str, n: int) -> Column:
     """
     tokens = F.col(tokens) if isinstance(tokens, str) else tokens
     stop = F.raise_error(F.lit("a token holds a space")).cast("array<string>")
-    checked = F.when(F.exists(tokens, lambda x: F.contains(x, F.lit(" "))), stop).otherwise(tokens)
+    # The tokens put together hold a space if one of them does.
+    checked = F.when(F.contains(F.array_join(tokens, ""), F.lit(" ")), stop).otherwise(tokens)
+    found = F.array_compact(checked)
+    if n == 1:
+        return F.array_distinct(found)
 
     def runs(t: Column) -> Column:
-        starts = F.sequence(F.lit(1), F.size(t) - (n - 1))
-        joined = F.transform(starts, lambda i: F.array_join(F.slice(t, i, n), " "))
-        return F.when(F.size(t) >= n, joined).otherwise(F.array().cast("array<string>"))
+        count = F.greatest(F.size(t) - (n - 1), F.lit(0))
+        joined = F.slice(t, 1, count)
+        for k in range(2, n + 1):
+            joined = F.zip_with(joined, F.slice(t, k, count), lambda a, b: F.concat(a, F.lit(" "), b))
+        return joined
 
-    return F.array_distinct(bind(F.array_compact(checked), runs))
+    return F.array_distinct(bind(found, runs))
 
 
 def frequent_grams(
@@ -47,9 +50,12 @@ def frequent_grams(
     for size in range(1, n + 1):
         grams = rows.select(F.explode(grams_of(tokens_col, size)).alias("gram"))
         if shorter is not None:
-            is_frequent = membership(shorter, "gram")
-            ends = (F.substring_index("gram", " ", k * (size - 1)) for k in (1, -1))
-            grams = grams.where(reduce(and_, map(is_frequent, ends)))
+            is_frequent = digest_membership(shorter, "gram")
+            ends = [F.substring_index("gram", " ", k * (size - 1)) for k in (1, -1)]
+            # Inlined, the digests are columns of their own; a filter would compute them for each probe.
+            digests = F.struct(*[digest(e).alias(f"_end{i}") for i, e in enumerate(ends)])
+            hashed = grams.select("gram", F.inline(F.array(digests)))
+            grams = hashed.where(is_frequent(F.col("_end0")) & is_frequent(F.col("_end1"))).select("gram")
         counted = grams.groupBy("gram").agg(F.count(F.lit(1)).alias("n_rows"))
         counted = counted.where(F.col("n_rows") >= min_rows)
         if size < n:

@@ -77,3 +77,9 @@ def test_a_bounded_dictionary_keeps_the_most_frequent(spark, data_dir):
     assert detector.model.stages[-1].numFeatures == 50
     scored = detector.score(train.select("text").limit(3))
     assert scored.where(F.size("logits") == 2).count() == 3
+
+
+def test_ends_of_a_gram_are_hashed_once(spark):
+    df = spark.createDataFrame([(["a", "b", "a"],)] * 3, "t array<string>")
+    plan = frequent_grams(df, "t", 2, 2)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("substring_index") == 2
