@@ -44,6 +44,17 @@ def _pairs(form: Column) -> Column:
     return bind(F.transform(characters(form), code), paired)
 
 
+def _with_blanks(words: Column) -> Column:
+    """The words of a form with the blanks around them: their letter pairs are those of the form."""
+    last = F.size(words) - 1
+
+    def padded(word: Column, i: Column) -> Column:
+        before, after = F.when(i > 0, " ").otherwise(""), F.when(i < last, " ").otherwise("")
+        return F.concat(before, word, after)
+
+    return F.transform(words, padded)
+
+
 @dataclass(frozen=True)
 class PairModel:
     """Log-probability of each letter after another, and the mean below which a text is noise."""
@@ -55,8 +66,13 @@ class PairModel:
 def fit_pairs(df: DataFrame, text_col: str = "text") -> PairModel:
     """The letter pairs of all whole texts; an empty corpus gives even probabilities."""
     form = F.coalesce(latin_form(F.col(text_col)), F.lit(""))
-    pairs = df.select(F.explode(bind(form, _pairs)).alias("pair"))
-    counts = {r.pair: r.n for r in pairs.groupBy("pair").agg(F.count(F.lit(1)).alias("n")).collect()}
+    words = df.select(form.alias("form")).select(
+        F.explode(bind(F.split("form", " "), _with_blanks)).alias("word")
+    )
+    # Each distinct word is taken apart once, however often it stands in the texts.
+    distinct = words.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    pairs = distinct.select(F.explode(bind(F.col("word"), _pairs)).alias("pair"), "n")
+    counts = {r.pair: r.n for r in pairs.groupBy("pair").agg(F.sum("n").alias("n")).collect()}
     firsts = [sum(counts.get(a * SYMBOLS + b, 0) for b in range(SYMBOLS)) for a in range(SYMBOLS)]
     log_p = [
         math.log((counts.get(k, 0) + 1) / (firsts[k // SYMBOLS] + SYMBOLS)) for k in range(SYMBOLS**2)

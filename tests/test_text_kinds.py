@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sensitext.operators.text_kinds import SYMBOLS, fit_pairs, kind_counts, text_kind
+from sensitext.plans.kind_queries import text_kinds
 
 
 @pytest.fixture(scope="module")
@@ -60,3 +61,20 @@ def test_empty_corpus(spark):
     model = fit_pairs(empty)
     assert kind_counts(empty, model).collect() == []
     assert kinds_of(spark, ["abcdefghijkl", "11"], model) == ["text", "digits"]
+
+
+def test_words_are_counted_before_they_are_judged(spark, data_dir):
+    plan = text_kinds(spark, data_dir)._jdf.queryExecution().optimizedPlan().toString()
+    # That of the kinds, and that of the words below it.
+    assert plan.count("Aggregate [") == 2
+
+
+def test_pairs_of_words_are_those_of_the_text(spark):
+    texts = ["ab ab c", "ab", "c", "", None, "A-b", "  z  "]
+    model = fit_pairs(spark.createDataFrame([(t,) for t in texts], "text string"))
+    pairs = Counter(p for t in ("ab ab c", "ab", "a b") for p in zip(t, t[1:]))
+    code = lambda c: 26 if c == " " else ord(c) - 97
+    firsts = Counter(a for a, b in pairs.elements())
+    for (a, b), n in pairs.items():
+        want = math.log((n + 1) / (firsts[a] + SYMBOLS))
+        assert model.log_p[code(a) * SYMBOLS + code(b)] == pytest.approx(want)
