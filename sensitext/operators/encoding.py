@@ -75,40 +75,34 @@ def build_vocab(
     words = word_counts(df, text_col).where(
         (F.length("word") <= MAX_WORD_CHARS) & ~F.col("word").isin(list(SPECIAL_TOKENS))
     )
-    parts = words.select(
+    letters = words.select(
         F.explode(
-            F.concat(
-                F.transform(
-                    characters("word"),
-                    lambda c, i: F.struct(
-                        c.alias("token"), F.lit(1).alias("is_char"), (i > 0).alias("inside")
-                    ),
-                ),
-                F.when(
-                    F.length("word") > 1,
-                    F.array(
-                        F.struct(
-                            F.col("word").alias("token"),
-                            F.lit(0).alias("is_char"),
-                            F.lit(False).alias("inside"),
-                        )
-                    ),
-                ).otherwise(F.array().cast("array<struct<token:string,is_char:int,inside:boolean>>")),
+            F.transform(
+                characters("word"), lambda c, i: F.struct(c.alias("token"), (i > 0).alias("inside"))
             )
         ).alias("p"),
         "n",
     )
-    counted = parts.groupBy("p.token", "p.is_char").agg(
+    counted = letters.groupBy("p.token").agg(
         F.sum("n").alias("n"), F.max("p.inside").alias("inside")
     )
     own = F.struct("token", F.lit(True).alias("met"))
     inner = F.struct(F.concat(F.lit("##"), "token").alias("token"), F.col("inside").alias("met"))
-    both_forms = F.when(F.col("is_char") == 1, F.array(own, inner)).otherwise(F.array(own))
     order = [F.desc("is_char"), F.desc("n"), F.asc("token")]
-    forms = counted.select(F.explode(both_forms).alias("f"), "is_char", "n").select("f.*", "is_char", "n")
     met_first = [F.desc("met"), *order]
-    chars = forms.where("is_char = 1").orderBy(*met_first).limit(room)
-    whole = forms.where("is_char = 0").orderBy(*order).limit(room)
+    forms = counted.select(
+        F.explode(F.array(own, inner)).alias("f"), F.lit(1).alias("is_char"), "n"
+    ).select("f.*", "is_char", "n")
+    chars = forms.orderBy(*met_first).limit(room)
+    # Words are counted already, once each. Those of one letter are told by the order and left out behind
+    # the limit: a filter would sink below the count, which then no longer serves the letters too.
+    long = F.length("word") > 1
+    whole = (
+        words.orderBy(F.desc(long), F.desc("n"), F.asc("word"))
+        .limit(room)
+        .where(long)
+        .select(F.col("word").alias("token"), F.lit(True).alias("met"), F.lit(0).alias("is_char"), "n")
+    )
     # One task chooses among at most twice ``room`` rows.
     kind = Window.partitionBy("is_char").orderBy(*met_first)
     words_kept = F.least(

@@ -10,6 +10,7 @@ from sensitext.functions.scoring import argmax, linear_logits
 from sensitext.operators.encoding import Vocab, encode
 from sensitext.operators.prefilter import may_match
 from sensitext.operators.prep import coerce_label, hash_split
+from sensitext.session import materialise
 from sensitext.sources.tables import labelled_from_tables, read_table
 
 SCHEMAS = {
@@ -49,18 +50,24 @@ def labelled(spark: SparkSession, data_dir: str) -> DataFrame:
 
 
 def labelled_ids(
-    spark: SparkSession, data_dir: str, vocab: Vocab, max_length: int = MAX_LENGTH
+    spark: SparkSession,
+    data_dir: str,
+    vocab: Vocab,
+    max_length: int = MAX_LENGTH,
+    store: bool = False,
 ) -> DataFrame:
     """``doc_id, label, split, input_ids, truncated``: encoded below the join with the labels.
 
     A Bloom filter over the labels' ids keeps other documents from being encoded. At most
-    ``max_length`` numbers a document are moved, never its text.
+    ``max_length`` numbers a document are moved, never its text. With ``store`` the rows are written
+    once, for those who read them again; labels are checked by each of these.
     """
     labels = table(spark, data_dir, "labels", "doc_id", "toxic")
     docs = may_match(table(spark, data_dir, "documents", "doc_id", "text"), labels, "doc_id")
     encoded = encode(hash_split(docs), vocab, max_length)
     narrow = encoded.select("doc_id", "split", "input_ids", "truncated")
-    return coerce_label(labelled_from_tables(narrow, labels))
+    rows = labelled_from_tables(narrow, labels)
+    return coerce_label(materialise(rows, "labelled-ids") if store else rows)
 
 
 def vectors(spark: SparkSession, data_dir: str) -> DataFrame:

@@ -41,13 +41,15 @@ def teacher(spark: SparkSession, data_dir: str) -> tuple[Detector, DataFrame]:
     by content gives to training.
     """
     key = (spark.sparkContext.applicationId, data_dir)
-    if key not in _teachers:
-        docs = hash_split(documents(spark, data_dir))
-        vocab = vocab_dict(build_vocab(docs.where(F.col("split") == "train")))
-        train = labelled_ids(spark, data_dir, vocab).where(F.col("split") == "train")
-        _teachers[key] = fit_teacher(train, vocab)
-    model = _teachers[key]
-    return model, labelled_ids(spark, data_dir, model.vocab)
+    if key in _teachers:
+        model = _teachers[key]
+        return model, labelled_ids(spark, data_dir, model.vocab)
+    docs = hash_split(documents(spark, data_dir))
+    vocab = vocab_dict(build_vocab(docs.where(F.col("split") == "train")))
+    # Encoded once for the fit and for what is asked of the model.
+    rows = labelled_ids(spark, data_dir, vocab, store=True)
+    _teachers[key] = fit_teacher(rows.where(F.col("split") == "train"), vocab)
+    return _teachers[key], rows
 
 
 def teacher_predict(spark, data_dir):

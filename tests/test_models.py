@@ -5,6 +5,7 @@ from probes import PROBES
 from sensitext.operators.distill import fit_student, soft_labels
 from sensitext.operators.predict import detect, predict, predict_probes
 from sensitext.operators.train import Detector, evaluate, fit_teacher
+from sensitext.plans import model_queries
 from sensitext.sources.labelled import texts
 from sensitext.sources.models import load_model, save_model
 from sensitext.streaming.score_stream import read_stream, score_stream
@@ -99,3 +100,12 @@ def test_stream_equals_batch_and_restarts(spark, teacher, rows, tmp_path):
     assert run() == detect(first, teacher, keep=("doc_id",)).orderBy("doc_id").collect()
     second.select("doc_id", "text").write.mode("append").parquet(source)
     assert run() == detect(rows, teacher, keep=("doc_id",)).orderBy("doc_id").collect()
+
+
+def test_rows_of_the_fit_are_encoded_once(spark, data_dir, monkeypatch):
+    """What is asked of a model just fitted reads the rows that were encoded for it."""
+    monkeypatch.setattr(model_queries, "_teachers", {})
+    monkeypatch.setattr(model_queries, "fit_teacher", lambda train, vocab: Detector(None, vocab))
+    _, rows = model_queries.teacher(spark, data_dir)
+    assert "ArrowEvalPython" not in rows._jdf.queryExecution().toString()
+    assert rows.columns == ["doc_id", "split", "input_ids", "truncated", "label"]
