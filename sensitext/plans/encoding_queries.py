@@ -26,6 +26,7 @@ from sensitext.operators.grams import frequent_grams
 from sensitext.operators.prep import assign_batches
 from sensitext.plans.inputs import SQL_LABELLED, documents, labelled_ids, r6, sql_r6
 from sensitext.plans.text_sql import sql_encoded, sql_tokens, sql_vocab, sql_wordpiece
+from sensitext.session import materialise
 
 # A small vocabulary makes most words fall into pieces.
 SMALL_VOCAB = 2000
@@ -98,6 +99,8 @@ def pad_longest(spark, data_dir):
 def length_batches(spark, data_dir):
     """Padding of batches with rows in random order beside batches of like lengths."""
     rows = _encoded(spark, data_dir).select("doc_id", "split", F.size("input_ids").alias("n"))
+    # Both orders read the rows twice, so the texts are encoded once.
+    rows = materialise(rows, "lengths")
     totals = []
     for order, length in (("random", None), ("length", "n")):
         batched = assign_batches(rows, TRAIN_BATCH, "doc_id", by=["split"], length=length)
