@@ -41,8 +41,9 @@ BatchKey = str | Sequence[str]
 MODEL_INPUTS = ("input_ids", "attention_mask", "token_type_ids")
 # Tokens that a vocabulary held by every task may have.
 MAX_VOCAB = 500_000
-# Words a Python worker remembers before it starts afresh.
-_MEMO_WORDS = 500_000
+# Letters of words a Python worker remembers before it starts afresh, and the words it takes at a time.
+_MEMO_LETTERS = 1_000_000
+_WORDS_AT_ONCE = 100_000
 
 
 def word_counts(df: DataFrame, text_col: str = "text") -> DataFrame:
@@ -292,22 +293,38 @@ def _ids_column(spark: SparkSession, vocab: Vocab, words: Column, split_words: b
     def to_ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         ids, matcher = shared.value
         memo: dict[str, list[int]] = {}
+        letters = 0
 
         def lookup(word: str) -> list[int]:
+            nonlocal letters
             found = memo.get(word)
             if found is None:
                 pieces = [word] if matcher is None else matcher.split(word)
                 found = memo[word] = [ids.get(p, UNK_ID) for p in pieces]
+                # Any entry costs as much as some letters do.
+                letters += len(word) + 10
             return found
 
         for batch in batches:
-            if len(memo) > _MEMO_WORDS:
-                memo.clear()
-            yield _map_words(batch, lookup)
+            parts = []
+            for part in _parts(batch, _WORDS_AT_ONCE):
+                if letters > _MEMO_LETTERS:
+                    memo.clear()
+                    letters = 0
+                parts.append(_map_words(part, lookup))
+            yield parts[0] if len(parts) == 1 else pa.concat_arrays(parts)
 
     return to_ids(words)
 
 
+def _parts(batch: pa.ListArray, most: int) -> Iterator[pa.ListArray]:
+    """The lists in order, in parts of about ``most`` words; a list is never cut."""
+    ends = np.cumsum(batch.value_lengths().fill_null(0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    cuts = np.flatnonzero(np.diff(ends // most)) + 1
+    for start, end in zip([0, *cuts], [*cuts, len(batch)]):
+        yield batch.slice(start, end - start)
+
+
 def _map_words(batch: pa.ListArray, lookup) -> pa.ListArray:
     """Replace each word of each list by its ids, one lookup per distinct word."""
     null_rows = batch.is_null()

@@ -84,6 +84,8 @@ def truncate_specials(spark, data_dir):
 
 def pad_longest(spark, data_dir):
     rows = _encoded(spark, data_dir).select("doc_id", "split", "input_ids")
+    # Read for the numbers and for their offsets, so the texts are encoded once.
+    rows = materialise(rows, "encoded")
     batched = assign_batches(rows, TRAIN_BATCH, "doc_id", epochs=[1, 2], by=["split"])
     padded = pad(batched, "longest", batch_col=("split", "epoch", "batch_id"))
     return padded.select(

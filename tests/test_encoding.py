@@ -1,3 +1,4 @@
+import pyarrow as pa
 import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
@@ -10,6 +11,7 @@ from probes import PROBES
 from sensitext.constants import FIRST_FREE_ID, SPECIAL_TOKENS, UNK_ID
 from sensitext.functions.text import basic_tokens, leading_tokens
 from sensitext.operators.encoding import (
+    _parts,
     add_model_inputs,
     as_int32,
     build_vocab,
@@ -21,6 +23,7 @@ from sensitext.operators.encoding import (
     vocab_dict,
     wordpiece,
 )
+from sensitext.plans.encoding_queries import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -214,3 +217,33 @@ def test_characters_take_the_ids_that_words_leave_free(spark):
     assert sum(t in words for t in tokens) == 100 and len(tokens) == 200 + len(SPECIAL_TOKENS)
     ids = [r.id for r in build_vocab(both, FIRST_FREE_ID + 200).collect()]
     assert len(set(ids)) == len(ids) and max(ids) == FIRST_FREE_ID + 199
+
+
+def test_lengths_are_counted_once_for_both_orders(spark, data_dir):
+    plan = QUERIES["length_batches"](spark, data_dir)._jdf.queryExecution().toString()
+    assert "ArrowEvalPython" not in plan
+
+
+def test_numbered_rows_to_pad_are_encoded_once(spark, data_dir):
+    plan = QUERIES["pad_longest"](spark, data_dir)._jdf.queryExecution().toString()
+    assert "ArrowEvalPython" not in plan
+
+
+def test_word_lists_are_taken_in_parts():
+    """Behind its first list, which may be long, a part holds fewer words than were asked for."""
+    rows = [["a"] * n for n in (3, 0, 4, 50, 1, 1, 1, 9)] + [None, ["b"]]
+    batch = pa.array(rows, pa.list_(pa.string()))
+    for batch, rows in ((batch, rows), (batch.slice(2, 5), rows[2:7]), (batch.slice(0, 0), [])):
+        parts = [p.to_pylist() for p in _parts(batch, 10)]
+        assert [x for p in parts for x in p] == rows
+        assert all(sum(map(len, filter(None, p[1:]))) < 10 for p in parts)
+
+
+def test_words_are_counted_once_for_letters_and_words(spark):
+    """One scan of the texts serves both parts of the vocabulary."""
+    texts = spark.createDataFrame([("ab abc a b c abc",), (None,), ("x 7",)], "text string")
+    vocab = build_vocab(texts.repartition(2))
+    found = {r.token for r in vocab.collect()}
+    assert {"ab", "abc", "##a", "7", "##x"} <= found and "##abc" not in found
+    plan = vocab._jdf.queryExecution().executedPlan().toString()
+    assert "ReusedExchange" in plan[: plan.index("Initial Plan")]
